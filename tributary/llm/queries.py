@@ -12,6 +12,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm import topk
+
+    return topk.top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm import common, mixing
 
@@ -34,6 +40,12 @@ def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), shards=24)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm import simhash
+
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, most=4)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm import packing
 
@@ -42,8 +54,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk": op1_topk,
     "op2_mixing": op2_mixing,
     "op5_dac": op5_dac,
     "op8_hilbert": op8_hilbert,
+    "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
