@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tributary.llm import quality
+
 _SIZE = r"CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT)"
 
 OP2 = rf"""
@@ -42,4 +44,32 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-SQL: dict[str, str] = {"op1_topk": OP1, "op2_mixing": OP2}
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_Q = {k: getattr(quality, k).replace("'", "''") for k in ("BOILERPLATE", "SENTENCE_END", "SYMBOL", "MARKS", "BAR")}
+
+OP6 = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT row_id, doc_id, text, regexp_extract_all(text, {_WORDS}) AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, {_WORDS})) AS lines FROM d),
+grams AS (SELECT row_id, i, array_to_string(words[i:i + 4], ' ') AS gram FROM w, LATERAL (SELECT unnest(range(1, len(words) - 3)) AS i)),
+twins AS (SELECT row_id, i, count(*) OVER (PARTITION BY row_id, gram) AS n FROM grams),
+covered AS (SELECT row_id, count(DISTINCT i + k) AS n FROM twins, range(0, 5) AS o(k) WHERE n >= 2 GROUP BY row_id),
+good AS (
+  SELECT row_id, list_filter(lines, lambda x: NOT (
+      (len(regexp_extract_all(x, {_WORDS})) < {quality.SHORT_LINE} AND NOT regexp_matches(x, '{_Q["SENTENCE_END"]}'))
+      OR len(regexp_extract_all(x, '{_Q["MARKS"]}')) > len(regexp_extract_all(x, {_WORDS})) * {quality.MOST_MARKS}
+      OR len(regexp_extract_all(x, '{_Q["BAR"]}')) > len(regexp_extract_all(x, {_WORDS})) * {quality.MOST_BARS}
+      OR regexp_matches(x, '{_Q["BOILERPLATE"]}'))) AS good FROM w),
+m AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '{_Q["SYMBOL"]}')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         length(array_to_string(good, '')) AS left_chars, length(array_to_string(lines, '')) AS all_chars
+  FROM w JOIN good USING (row_id) LEFT JOIN covered c USING (row_id)),
+b AS (SELECT *, n_words < {quality.LEAST_WORDS} OR n_repeat_words * 100 > n_words * {quality.MOST_REPEATED} AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND all_chars > 0 AND CAST(left_chars AS DOUBLE) / CAST(all_chars AS DOUBLE) >= {quality.LEAST_LEFT} AS kept
+FROM b
+"""
+
+SQL: dict[str, str] = {"op1_topk": OP1, "op2_mixing": OP2, "op6_quality": OP6}

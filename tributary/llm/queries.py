@@ -34,6 +34,14 @@ def op5_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_digest(spark, path)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm import quality
+
+    judged = quality.assess(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("row.doc_id", *[F.col(f"quality.{x}") for x in names])
+
+
 def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm import sharding
 
@@ -57,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_mixing": op2_mixing,
     "op5_dac": op5_dac,
+    "op6_quality": op6_quality,
     "op8_hilbert": op8_hilbert,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
