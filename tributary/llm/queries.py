@@ -26,6 +26,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized).orderBy("virtual_finish", "doc_id").select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm import common, langid
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = common.crc_mod("doc_id", 4) == 2
+    model = langid.train(docs.select("doc_id", "text", "lang"), ~held_out)
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    answered = langid.identify(rows, model)
+    return answered.select("row.doc_id", "row.held_out", "language.lang_pred", "language.score", "language.rejected")
+
+
 def op5_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm import common, dac
 
@@ -64,6 +75,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_mixing": op2_mixing,
+    "op3_langid": op3_langid,
     "op5_dac": op5_dac,
     "op6_quality": op6_quality,
     "op8_hilbert": op8_hilbert,
