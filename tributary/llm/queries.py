@@ -53,6 +53,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *[F.col(f"quality.{x}") for x in names])
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm import common, lm
+
+    return lm.score(_table(spark, sf_dir, "documents").select("doc_id", "text"), common.crc_mod("doc_id", 5) == 1)
+
+
 def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm import sharding
 
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op5_dac": op5_dac,
     "op6_quality": op6_quality,
+    "op7_ppm": op7_ppm,
     "op8_hilbert": op8_hilbert,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
