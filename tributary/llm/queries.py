@@ -37,6 +37,12 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answered.select("row.doc_id", "row.held_out", "language.lang_pred", "language.score", "language.rejected")
 
 
+def op4_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tributary.llm import tokencount
+
+    return tokencount.count_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tributary.llm import common, dac
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_mixing": op2_mixing,
     "op3_langid": op3_langid,
+    "op4_tokencount": op4_tokencount,
     "op5_dac": op5_dac,
     "op6_quality": op6_quality,
     "op7_ppm": op7_ppm,
