@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +56,7 @@ def _delete_on_exit(spark: SparkSession, path: str) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed by release() or at the session's end."""
     path = f"{shared_dir(spark)}/tributary-{name}-{uuid.uuid4().hex}"
-    _scratch.append((spark, path))
+    (_staged.append(path) if _in_stage[0] else _scratch.append((spark, path)))
     return path
 
 
@@ -71,6 +72,28 @@ def release(spark: SparkSession) -> None:
     _scratch[:] = kept
 
 
+_staged: list[str] = []
+_in_stage = [False]
+
+
+@contextmanager
+def stage_scratch() -> Iterator[None]:
+    """Scratch tables made inside belong to one pipeline stage."""
+    _in_stage[0] = True
+    try:
+        yield
+    finally:
+        _in_stage[0] = False
+
+
+def release_stages(spark: SparkSession) -> None:
+    """Delete the scratch tables of earlier stages, whose results have been written."""
+    for path in _staged:
+        p, fs = _path(spark, path)
+        fs.delete(p, True)
+    _staged.clear()
+
+
 def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

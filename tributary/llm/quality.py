@@ -95,7 +95,9 @@ def assess(docs: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame) -> DataFrame:
     """Documents (doc_id, text, lang, source, n_chars) that pass, with failed lines removed from their texts."""
-    judged = assess(docs).filter("quality.kept")
+    # not deterministic in the optimiser's eyes, so that the filter isn't pushed down, which would evaluate all rules again
+    verdict = F.col("quality.kept") & (F.monotonically_increasing_id() >= 0)
+    judged = assess(docs).withColumn("verdict", verdict).filter("verdict")
     changed = F.col("quality.cleaned")
     out = [changed.alias("text") if c == "text" else F.when(changed == F.col("row.text"), F.col("row.n_chars")).otherwise(F.length(changed)).cast(t).alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c, t in docs.dtypes]
     return judged.select(*out)
