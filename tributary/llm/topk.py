@@ -118,15 +118,17 @@ def search(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, norms
         row, col = np.nonzero(part + np.outer(rest_q[0][live], rest_c[0][strip]) + slack[live, None] >= need[live, None])
         sums = part[row, col]
         for step in range(1, len(cuts)):
-            if len(row) > part.size // 16 and step == 1:  # most are left: a matrix product is cheaper than pairs
-                whole = rq[live] @ rc[strip].T
-                sums, bound = whole[row, col], 0.0
+            whole = step == 1 and len(row) > part.size // 16  # many are left: a matrix product is cheaper than pairs
+            if whole:
+                sums, bound = (rq[live] @ rc[strip].T)[row, col], 0.0
             else:
                 a, b = cuts[step - 1], cuts[step]
                 sums = sums + np.einsum("ij,ij->i", rq[live[row], a:b], rc[i + col, a:b])
                 bound = rest_q[step][live[row]] * rest_c[step][i + col]
             keep = sums + bound + slack[live[row]] >= need[live[row]]
             row, col, sums = row[keep], col[keep], sums[keep]
+            if whole:
+                break
         who = live[row]
         own = qid[who] != cid[i + col]
         who, col = who[own], i + col[own]
