@@ -72,4 +72,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-SQL: dict[str, str] = {"op1_topk": OP1, "op2_mixing": OP2, "op6_quality": OP6}
+#: crc32 of hex text h, a byte at a time over the table t of its polynomial.
+_CRC_TABLE = """steps(k, i, v) AS (SELECT 0, i, i FROM range(0, 256) r(i)
+    UNION ALL SELECT k + 1, i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM steps WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM steps WHERE k = 8)"""
+_CRC = """xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+
+def _hilbert_steps(bits: int, dims: int) -> tuple[str, str]:
+    """Common table expressions from ``cells`` (x0, x1, ...) to the curve's columns, one step each, and the last one's name."""
+    steps, last = [], "cells"
+
+    def step(columns: dict[str, str]) -> None:
+        nonlocal last
+        name = f"h{len(steps)}"
+        steps.append(f"{name} AS (SELECT * REPLACE ({', '.join(f'{v} AS {k}' for k, v in columns.items())}) FROM {last})")
+        last = name
+
+    for level in range(bits - 1, 0, -1):
+        low = (1 << level) - 1
+        for k in range(dims):
+            up, swap = f"(x{k} >> {level}) & 1 = 1", f"xor(x0, x{k}) & {low}"
+            moved = {"x0": f"xor(x0, CASE WHEN {up} THEN {low} ELSE {swap} END)"}
+            step(moved | ({f"x{k}": f"xor(x{k}, CASE WHEN {up} THEN 0 ELSE {swap} END)"} if k else {}))
+    for k in range(1, dims):
+        step({f"x{k}": f"xor(x{k}, x{k - 1})"})
+    flip = "0"
+    for level in range(bits - 1, 0, -1):
+        flip = f"xor({flip}, CASE WHEN (x{dims - 1} >> {level}) & 1 = 1 THEN {(1 << level) - 1} ELSE 0 END)"
+    step({f"x{k}": f"xor(x{k}, {flip})" for k in range(dims)})
+    places = [(level, k) for level in range(bits - 1, -1, -1) for k in range(dims)]
+    index = " + ".join(f"(((x{k} >> {level}) & 1) << {len(places) - 1 - i})" for i, (level, k) in enumerate(places))
+    return ",\n".join(steps), f"SELECT doc_id, size, text_crc32, CAST({index} AS BIGINT) AS hilbert FROM {last}"
+
+
+_STEPS, _CURVE = _hilbert_steps(5, 4)
+_CELL = "(SELECT {0} AS v, floor((row_number() OVER (ORDER BY {0} NULLS LAST) - 1) * 32 / count(*) OVER ()) AS cell FROM (SELECT DISTINCT {0} FROM documents))"
+OP8 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+meta AS (SELECT doc_id, lang, source, octet_length(encode(coalesce(text, ''))) + 8 AS size, hex(encode(coalesce(text, ''))) AS h FROM documents),
+ends AS (SELECT min(doc_id) AS low, max(doc_id) AS high, count(*) AS n FROM documents),
+cells AS (
+  SELECT doc_id, size, CASE WHEN h = '' THEN 0 ELSE {_CRC} END AS text_crc32,
+         CAST(l.cell AS BIGINT) AS x0, CAST(s.cell AS BIGINT) AS x1, least(length(bin(size)) - 1, 31) AS x2,
+         coalesce(least(CAST(floor((CAST(doc_id AS DOUBLE) - CAST(low AS DOUBLE)) / (CAST(high AS DOUBLE) - CAST(low AS DOUBLE) + 1) * 32) AS BIGINT), 31), 0) AS x3
+  FROM meta JOIN {_CELL.format("lang")} l ON lang IS NOT DISTINCT FROM l.v JOIN {_CELL.format("source")} s ON source IS NOT DISTINCT FROM s.v, tab, ends),
+{_STEPS},
+curve AS ({_CURVE}),
+placed AS (SELECT *, row_number() OVER (ORDER BY hilbert, doc_id NULLS FIRST, size, text_crc32) - 1 AS rank FROM curve)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(rank * 24 // n AS INTEGER) AS shard,
+       rank - ((rank * 24 // n) * n + 23) // 24 AS slot, CAST(NULL AS INTEGER) AS grown_shard, hilbert
+FROM placed, ends
+"""
+
+SQL: dict[str, str] = {"op1_topk": OP1, "op2_mixing": OP2, "op6_quality": OP6, "op8_hilbert": OP8}
