@@ -87,8 +87,10 @@ def test_interrupted_snapshot_resumes_and_keeps_its_first_watermark(spark, tmp_p
 
     first = Connector(spark, config(total=1), Fails(), source, f"{tmp_path}/state", store, document="doc", me="w")
     first.runtime.sleep = lambda s: None
+    first.group.register()
+    first.group.record(first.group.acquire())
     with pytest.raises(RuntimeError):
-        first.runtime.bootstrap([0]) if first.group.guard_total() else (first.group.register(), first.group.record(first.group.acquire()), first.runtime.bootstrap([0]))
+        first.runtime.bootstrap([0])
     first.runtime.save_interrupted()
     assert first.progress.read(0)["bootstrap_start"] == [1, 100, 2]
     events(spark, source.log, [(2, "3", "update", "{}", 101, 1)])
