@@ -34,7 +34,6 @@ def stream_batches(spark, sf_dir: str) -> tuple[int, list[float]]:
     fx.table(spark, sf_dir, "customer").select("c_custkey", "c_name").write.parquet(f"{folder}/coll")
     cfg = Config()
     cfg.connection.uri, cfg.connection.database, cfg.connection.collection, cfg.partition.consumer_group = "file", "shop", "events", "bench"
-    cfg.checkpoint.bootstrap_query_batch_size = 100_000
     cfg.logger.log_level = "error"
     seen, took, last = [0], [], [time.perf_counter()]
 

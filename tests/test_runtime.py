@@ -20,7 +20,7 @@ def config(**partition):
     c = cfg.connection
     c.uri, c.database, c.collection = "file", "shop", "items"
     cfg.partition.consumer_group, cfg.partition.total_partition = "g", partition.get("total", 4)
-    cfg.checkpoint.bootstrap_query_batch_size, cfg.checkpoint.bootstrap_save_count, cfg.checkpoint.change_stream_save_count = 7, 3, 2
+    cfg.checkpoint.bootstrap_slice_rows, cfg.checkpoint.bootstrap_save_count, cfg.checkpoint.change_stream_save_count = 7, 3, 2
     return cfg
 
 

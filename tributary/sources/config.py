@@ -68,6 +68,7 @@ class CheckpointConfig:
     change_stream_save_count: int = 500
     bootstrap_save_count: int = 2500
     bootstrap_query_batch_size: int = 2500
+    bootstrap_slice_rows: int = 10_000_000
     idle_heartbeat_interval: timedelta = seconds(180)
     max_idle_time: timedelta = seconds(900)
 
@@ -104,7 +105,7 @@ class Config:
             raise ConfigError("min_pool_size is above max_pool_size")
         if k.type not in ("auto", "manual"):
             raise ConfigError("checkpoint.type is auto or manual")
-        for name in ("change_stream_save_count", "bootstrap_save_count", "bootstrap_query_batch_size"):
+        for name in ("change_stream_save_count", "bootstrap_save_count", "bootstrap_query_batch_size", "bootstrap_slice_rows"):
             if getattr(k, name) <= 0:
                 raise ConfigError(f"checkpoint.{name} must be positive")
         if p.total_partition <= 0:

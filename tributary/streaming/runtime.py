@@ -105,32 +105,39 @@ class Runtime:
                 self.snapshot_acks.pop(p, None)
 
     def _scan(self, progress: dict[int, str | None]) -> None:
-        """All partitions' rows in key order, in chunks by key; each partition after its own last key."""
+        """All partitions' rows in key order, each partition after its own last key.
+
+        A batch listener gets key ranges of about ``bootstrap_slice_rows`` rows:
+        the bounds reach the scan, so a range reads its own files and row
+        groups. A record listener gets one sorted pass.
+        """
         key, started = self.source.key, int(self.clock())
         rows = self.source.snapshot()
         document = self.document or next(c for c in rows.columns if c != key)
         kind = rows.schema[key].dataType
         native = {p: None if v is None else self.spark.range(1).select(F.lit(v).cast(kind)).first()[0] for p, v in progress.items()}
-        known = [v for v in native.values() if v is not None]
-        after = min(known) if len(known) == len(native) and known else None
-        size = self.cfg.checkpoint.bootstrap_query_batch_size
-        while not self.stopping.is_set():
-            # the key filter reaches the scan; the limit keeps a chunk, not the collection, in order
-            chunk = rows if after is None else rows.filter(F.col(key) > F.lit(after).cast(kind))
-            chunk = chunk.orderBy(key).limit(size).cache()
-            try:
-                ends = chunk.agg(F.max(key), F.count(F.lit(1))).first()
-                if not ends[1]:
-                    return
-                mine = scan(chunk, key, self.total, only=sorted(native))
-                for p, v in native.items():
-                    if v is not None:
-                        mine = mine.filter((F.col("partition_id") != p) | (F.col(key) > F.lit(v).cast(kind)))
-                log = synthetic_log(mine, key, document, started)
-                self._deliver(ops.to_messages(log, self.cfg.connection.database, self.cfg.connection.collection, self.total, bootstrap=True), -1, bootstrap=True, order=[F.col("document_id").cast(kind)])
-            finally:
-                chunk.unpersist()
-            after = ends[0]
+        after = None if None in native.values() else min(native.values())
+        if after is not None:
+            rows = rows.filter(F.col(key) > F.lit(after).cast(kind))
+        mine = scan(rows, key, self.total, only=sorted(native))
+        for p, v in native.items():
+            if v is not None:
+                mine = mine.filter((F.col("partition_id") != p) | (F.col(key) > F.lit(v).cast(kind)))
+        batch = getattr(self.listener, "batch", False)
+        for n, (low, high) in enumerate(self._ranges(rows, key) if batch else [(None, None)]):
+            part = mine if low is None else mine.filter(F.col(key) > F.lit(low).cast(kind))
+            part = part if high is None else part.filter(F.col(key) <= F.lit(high).cast(kind))
+            log = synthetic_log(part, key, document, started)
+            self._deliver(ops.to_messages(log, self.cfg.connection.database, self.cfg.connection.collection, self.total, bootstrap=True), n, bootstrap=True, order=[F.col("document_id").cast(kind)])
+
+    def _ranges(self, rows: DataFrame, key: str) -> list[tuple[Any, Any]]:
+        """Bounds (above, up to) of key ranges of about equal counts; the ends are open."""
+        n = -(-rows.count() // self.cfg.checkpoint.bootstrap_slice_rows)
+        if n <= 1:
+            return [(None, None)]
+        dealt = rows.select(key).repartitionByRange(n, key)
+        ends = sorted(r[0] for r in dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.max(key).alias("end")).select("end").collect())
+        return list(zip([None, *ends[:-1]], [*ends[:-1], None], strict=True))
 
     # --- stream ------------------------------------------------------------
 
