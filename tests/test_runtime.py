@@ -1,4 +1,6 @@
 import json
+import threading
+import time
 import urllib.request
 
 import pytest
@@ -13,6 +15,7 @@ from tributary.streaming.group import Group, TotalPartitionMismatch
 from tributary.streaming.logs import get_logger
 from tributary.streaming.metrics import Metrics, MetricServer
 from tributary.streaming.progress import Acks, Progress
+from tributary.streaming.runtime import PartitionEventHandler
 
 
 def config(**partition):
@@ -192,8 +195,6 @@ def test_group_takeover_and_rebalance():
 
 
 def test_file_store_is_exclusive(tmp_path):
-    import threading
-
     store = FileControlStore(tmp_path)
 
     def add():
@@ -262,3 +263,64 @@ def test_logger_levels():
     assert get_logger("trace").level == get_logger("debug").level
     with pytest.raises(ValueError):
         get_logger("loud")
+
+
+class Hooks(PartitionEventHandler):
+    def __init__(self):
+        self.calls = []
+
+    def before_partition_start(self, partition):
+        self.calls.append(("before start", partition))
+
+    def after_partition_start(self, partition):
+        self.calls.append(("after start", partition))
+
+    def before_partition_stop(self, partition):
+        self.calls.append(("before stop", partition))
+
+    def after_partition_stop(self, partition):
+        self.calls.append(("after stop", partition))
+
+
+def wait(condition, seconds=60):
+    end = time.time() + seconds
+    while not condition() and time.time() < end:
+        time.sleep(0.2)
+    return condition()
+
+
+def test_live_connector_follows_rebalances_and_closes(spark, tmp_path, source):
+    cfg, store, listener, hooks = config(total=4), MemoryControlStore(), Collect(), Hooks()
+    cfg.partition.rebalance_check_interval = cfg.partition.heartbeat_interval = cfg.checkpoint.token_save_interval = duration("1s")
+    cfg.metric.port = 18490
+    c = Connector(spark, cfg, listener, source, f"{tmp_path}/state", store, document="doc", me="a")
+    c.set_event_handler(hooks)
+    runner = threading.Thread(target=c.start, daemon=True)
+    runner.start()
+    try:
+        assert wait(lambda: ("after start", 3) in hooks.calls)
+        assert hooks.calls[:8] == [("before start", p) for p in range(4)] + [("after start", p) for p in range(4)]
+        events(spark, source.log, [(2, "3", "update", "{}", 101, 1)])
+        assert wait(lambda: any(r[3] == 2 for r in listener.rows))
+        other = Group(store, cfg.partition, "b")
+        other.register()
+        assert wait(lambda: ("after stop", 3) in hooks.calls and c.group.owned == [0, 1])
+        other.record(other.acquire())
+        assert other.owned == [2, 3]
+    finally:
+        c.close()
+        runner.join(30)
+    assert not runner.is_alive() and "a" not in store.read(c.group.workers)
+
+
+def test_watermark_falls_back_to_the_clock(spark, tmp_path, source):
+    class Mute(ParquetChangeSource):
+        def high_watermark(self):
+            raise OSError("away")
+
+    c = Connector(spark, config(total=1), Collect(), Mute(spark, source.collection, source.log), f"{tmp_path}/state", MemoryControlStore(), document="doc", me="w")
+    c.runtime.sleep, c.runtime.clock = lambda s: None, lambda: 500.7
+    assert c.runtime.low_watermark() == (None, 500, 1)
+    c.progress.begin_bootstrap(0, c.runtime.low_watermark())
+    c.progress.finish_bootstrap(0)
+    assert c.progress.start(0) == ("start_at_time", [500, 1])

@@ -40,6 +40,7 @@ class Connector:
         self.progress = Progress(self.store, cfg, self.metrics)
         self.handler = PartitionEventHandler()
         self.on_error, self.document = on_error, document
+        self._starting: list[int] = []
         self.runtime = self._runtime()
         self.server: MetricServer | None = None
         self._changed = threading.Event()
@@ -50,7 +51,9 @@ class Connector:
         return cls(spark, configs.load(path), listener, source, folder, **kwargs)
 
     def _runtime(self) -> Runtime:
-        return Runtime(self.spark, self.cfg, self.source, self.progress, self.listener, self.metrics, self.group.is_mine, self.on_error, self.document)
+        runtime = Runtime(self.spark, self.cfg, self.source, self.progress, self.listener, self.metrics, self.group.is_mine, self.on_error, self.document)
+        runtime.on_started = self._started
+        return runtime
 
     def set_event_handler(self, handler: PartitionEventHandler) -> None:
         self.handler = handler
@@ -88,7 +91,11 @@ class Connector:
     def _begin(self, partitions: list[int]) -> None:
         for p in partitions:
             self.handler.before_partition_start(p)
-        for p in partitions:
+        self._starting += partitions
+
+    def _started(self) -> None:
+        starting, self._starting = self._starting, []
+        for p in starting:
             self.handler.after_partition_start(p)
 
     def _reconcile(self, wanted: list[int]) -> None:

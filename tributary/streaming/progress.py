@@ -85,7 +85,7 @@ class Progress:
     def save_bootstrap(self, partition: int, last_id: str) -> None:
         self.write(partition, bootstrap_last_id=last_id, is_bootstrapping=True)
 
-    def begin_bootstrap(self, partition: int, mark: tuple[int, int, int]) -> tuple[int, int, int]:
+    def begin_bootstrap(self, partition: int, mark: tuple[int | None, int, int]) -> tuple[int | None, int, int]:
         """Keep the first watermark through every retry: changes since then are replayed after the snapshot."""
         kept = self.read(partition).get("bootstrap_start")
         if kept is None:

@@ -23,7 +23,7 @@ from tributary.operators.checkpoints import latest_ack
 from tributary.operators.snapshot import scan, synthetic_log
 from tributary.sources.change_source import ChangeSource
 from tributary.sources.config import Config
-from tributary.streaming.backoff import SLOW, STREAM, Backoff, retry
+from tributary.streaming.backoff import DEFAULT, SLOW, STREAM, Backoff, retry
 from tributary.streaming.logs import get_logger
 from tributary.streaming.metrics import Metrics
 from tributary.streaming.progress import Acks, Progress
@@ -74,6 +74,7 @@ class Runtime:
         self.active: set[int] = set()
         self.acks: dict[int, Acks] = {}
         self.snapshot_acks: dict[int, Acks] = {}
+        self.on_started: Callable[[], None] = lambda: None
         self.stopping = threading.Event()
         self.drained = threading.Event()
         self.drained.set()
@@ -90,7 +91,7 @@ class Runtime:
         todo = {p: last for p, (how, last) in starts.items() if how == "bootstrap"}
         if not todo:
             return
-        mark = self.source.high_watermark()
+        mark = self.low_watermark()
         for p in todo:
             self.progress.begin_bootstrap(p, mark)
         self.metrics.set("bootstrap_active", 1)
@@ -104,6 +105,14 @@ class Runtime:
                 self.progress.finish_bootstrap(p)
                 self.snapshot_acks.pop(p, None)
 
+    def low_watermark(self) -> tuple[int | None, int, int]:
+        """The log's end before the snapshot; by the local clock, without a token, if the log doesn't answer."""
+        try:
+            return retry(self.source.high_watermark, DEFAULT, self.sleep)
+        except Exception as e:
+            self.log.warning("no watermark from the log, taking the clock: %s", e)
+            return None, min(max(int(self.clock()), 0), ops.MOST_SECONDS), 1
+
     def _scan(self, progress: dict[int, str | None]) -> None:
         """All partitions' rows in key order, each partition after its own last key.
 
@@ -173,6 +182,7 @@ class Runtime:
         writer = messages.writeStream.foreachBatch(lambda df, n: self._deliver(df, n, bootstrap=False, order=["token"])).option("checkpointLocation", checkpoint)
         writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")
         self.query = writer.start()
+        self.on_started()
         try:
             if available_now:
                 self.query.awaitTermination()
