@@ -302,12 +302,12 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame
     return marked.join(of_code, "code").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
 
 
-def distinct_documents(docs: DataFrame, words: int = 5, parts: int = 4, most: int = 50, tables: int = 48, bits: int = 16) -> DataFrame:
+def distinct_documents(docs: DataFrame, words: int = 5, parts: int = 4, most: int = 48, tables: int = 48, bits: int = 16) -> DataFrame:
     """One document of each group of near copies, the one of least (doc_id, row), all columns kept.
 
     Shingles are of five words. Fingerprints have 256 bits: two texts with a
     Jaccard similarity of 0.8 differ in 38.8 bits on average (standard
-    deviation 5.7), so 50 takes in nearly all from 0.8 on. Candidates meet in
+    deviation 5.7), so 48 takes in nearly all from 0.8 on. Candidates meet in
     one of 48 draws of 16 bits (97 % of pairs at 0.8, over 99.6 % from 0.85).
     Texts without words are one group; null doc_ids come first.
     """
