@@ -113,3 +113,10 @@ def test_cutoff_is_inclusive(spark):
     rows = spark.createDataFrame([("a", 9), ("b", 10), ("c", 11)], "worker_id string, last_heartbeat long")
     assert {r.worker_id for r in coordination.alive(rows, F.lit(10)).collect()} == {"b", "c"}
     assert {r.worker_id for r in coordination.dead(rows, F.lit(10)).collect()} == {"a"}
+
+
+def test_lost_history_is_recognised(spark):
+    said = ["cannot resume stream; try again", "the resume token is invalid", "an invalid resume token", "the resume token", None, "(ChangeStreamHistoryLost) gone", "timeout"]
+    assert [feed.says_history_lost(x) for x in said] == [True, True, True, False, False, True, False]
+    rows = feed.history_lost_errors(spark.createDataFrame([(x,) for x in said], "message string")).collect()
+    assert {r.message for r in rows} == {x for x in said if feed.says_history_lost(x)}

@@ -49,3 +49,24 @@ def start_at(routed: DataFrame, checkpoints: DataFrame) -> DataFrame:
 def history_lost(checkpoints: DataFrame, head: Column) -> DataFrame:
     """Partitions whose next event is older than the first one that the log retains."""
     return checkpoints.filter(F.col("resume_token").isNotNull() & (head > F.col("resume_token") + 1)).withColumn("head", head)
+
+
+#: What a log server says when it can't go on from a token.
+LOST_PHRASES = ("resume token was not found", "ChangeStreamFatalError", "cannot resume stream", "ChangeStreamHistoryLost")
+LOST_TOGETHER = ("resume token", "invalid")
+
+
+def says_history_lost(message: str | None) -> bool:
+    """Whether an error's text means that resuming is impossible; sources without numbered tokens are told apart by it."""
+    text = message or ""
+    return any(p in text for p in LOST_PHRASES) or all(p in text for p in LOST_TOGETHER)
+
+
+def history_lost_errors(errors: DataFrame, column: str = "message") -> DataFrame:
+    """Rows of an error log that mean so."""
+    found = [F.coalesce(F.col(column).contains(p), F.lit(False)) for p in LOST_PHRASES]
+    both = F.coalesce(F.col(column).contains(LOST_TOGETHER[0]) & F.col(column).contains(LOST_TOGETHER[1]), F.lit(False))
+    condition = both
+    for f in found:
+        condition = condition | f
+    return errors.filter(condition)

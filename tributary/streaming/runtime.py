@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tributary.functions.hashing import partition_of
 from tributary.operators import changes as ops
 from tributary.operators.checkpoints import latest_ack
+from tributary.operators.feed import says_history_lost
 from tributary.operators.snapshot import scan, synthetic_log
 from tributary.sources.change_source import ChangeSource
 from tributary.sources.config import Config
@@ -206,13 +207,13 @@ class Runtime:
                     self.stream(partitions, checkpoint(), available_now)
                 return
             except HistoryLost as e:
-                self.metrics.add("resume_token_expired_total")
-                for p in e.partitions:
-                    self.progress.reset(p)
-                    self.acks.pop(p, None)
-                self.sleep(2)
+                self._start_over(e.partitions)
                 backoff.reset()
             except Exception as e:
+                if says_history_lost(str(e)):
+                    self._start_over(partitions)
+                    backoff.reset()
+                    continue
                 self.metrics.add("change_stream_error_total")
                 self.metrics.add("change_stream_restart_total")
                 if tries is not None and backoff.tries + 1 >= tries:
@@ -220,6 +221,14 @@ class Runtime:
                 self.log.error("stream failed: %s", e)
                 self.sleep(backoff.next())
 
+    def _start_over(self, partitions: Iterable[int]) -> None:
+        """Forget the partitions' progress, so that the next try takes a new snapshot of them."""
+        self.metrics.add("resume_token_expired_total")
+        for p in partitions:
+            self.progress.reset(p)
+            self.acks.pop(p, None)
+        self.sleep(2)
+
     # --- delivery and acknowledgement ------------------------------------
 
     def _deliver(self, messages: DataFrame, batch: int, bootstrap: bool, order: list[Any]) -> None:
