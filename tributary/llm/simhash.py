@@ -283,8 +283,9 @@ def group_codes(marked: DataFrame, least: Column, **search) -> DataFrame:
     """Distinct codes of materialised rows with a code, each with the least value of ``least`` over all codes it reaches: code, first."""
     distinct = materialise(marked.groupBy("code").agg(F.min(least).alias("least")), "codes")
     roots = components(near_links(distinct, **search)).select(F.col("x").alias("code"), F.col("y").alias("root"))
-    placed = distinct.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
-    named = placed.groupBy("root").agg(F.min("least").alias("first"))
+    placed = materialise(distinct.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code")), "placed")
+    # written first, so that the join reads plain shuffles and the rows of a large group can be split
+    named = materialise(placed.groupBy("root").agg(F.min("least").alias("first")), "named")
     return placed.select("code", "root").join(named, "root").select("code", "first")
 
 
