@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tributary-")
         spark.conf.set("spark.checkpoint.dir", base)
-        _delete_on_exit(spark, base)
+        delete_on_exit(spark, base)
     return base.rstrip("/")
 
 
@@ -48,7 +48,8 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _delete_on_exit(spark: SparkSession, path: str) -> None:
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written path when the session's JVM ends."""
     p, fs = _path(spark, path)
     fs.deleteOnExit(p)
 
@@ -99,7 +100,7 @@ def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", codec).parquet(path)
-    _delete_on_exit(spark, path)
+    delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -48,6 +48,7 @@ def op5_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = common.scratch_path(spark, "dac")
     dac.write(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    common.delete_on_exit(spark, path)
     return dac.read_digest(spark, path)
 
 
