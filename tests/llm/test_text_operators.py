@@ -301,34 +301,41 @@ def test_quality_counts(spark, odd, empty):
 
 def test_ppm_probabilities_sum_to_one():
     counts = np.zeros((lm.CONTEXTS, lm.SYMBOLS), np.int64)
-    for p in lm._ppm_pieces(b"abracadabra, the theatre. " * 40):
-        np.add.at(counts.ravel(), p, 1)
+    for k in lm._keys_of(b"abracadabra, the theatre. " * 40):
+        np.add.at(counts.ravel(), lm.places(k), 1)
     table = lm.compile_table(counts)
     assert np.allclose((10.0 ** table.astype(np.float64)).sum(axis=1), 1, atol=1e-4)
     assert np.allclose((10.0 ** lm.compile_table(np.zeros_like(counts)).astype(np.float64)).sum(axis=1), 1, atol=1e-4)
 
 
+def test_lm_keys_go_on_over_slices():
+    text = b"the cat sat on a mat, " * 300_000
+    assert len(list(lm._keys_of(text))) > 1 and np.array_equal(np.concatenate(list(lm._keys_of(text))), lm.keys(text))
+    assert lm.keys(b"").tolist() == [int.from_bytes(b"    ") << lm.SYMBOL_BITS | lm.END]
+
+
 def brute_ppm(train, text):
     """PPM with escape shares by distinct symbols and exclusion, symbol by symbol."""
     from collections import Counter, defaultdict
 
-    tries = [defaultdict(Counter) for _ in range(4)]
+    tries = [defaultdict(Counter) for _ in range(5)]
 
     def walk(t):
-        hist = [0, 0, 0]
+        hist = list(b"    ")
         for b in [*t, lm.END]:
-            yield tuple(hist), b
-            hist = [*hist[1:], int(lm._CLASS[b])] if b != lm.END else hist
+            # the deepest context is of whole bytes, shorter ones are folded
+            yield [tuple(int(lm._CLASS[x]) for x in hist[4 - k :]) for k in range(4)] + [tuple(hist)], b
+            hist = [*hist[1:], b]
 
     for t in train:
         for h, b in walk(t):
-            for k in range(4):
-                tries[k][h[3 - k :]][b] += 1
+            for k in range(5):
+                tries[k][h[k]][b] += 1
     total = 0.0
     for h, b in walk(text):
         p, out = 1.0, set()
-        for k in (3, 2, 1, 0):
-            left = {s: n for s, n in tries[k][h[3 - k :]].items() if s not in out}
+        for k in (4, 3, 2, 1, 0):
+            left = {s: n for s, n in tries[k][h[k]].items() if s not in out}
             if not left:
                 continue
             n, kinds = sum(left.values()), len(left)

@@ -1,16 +1,17 @@
 """Language-model scores by prediction by partial matching (PPM), pretrained on a part of the corpus.
 
-The model is a byte-context trie three deep, counted over all training texts.
+The model is a byte-context trie four deep, counted over all training texts.
 A byte not seen in the longest context escapes to the next shorter one (an
 escape's share is the number of distinct bytes seen there), where the bytes
 seen in the longer context are excluded. As the trained trie doesn't change
-while scoring, every context's escapes are worked out once into a table of
-log-probabilities, and a text's code length is one look-up per byte.
+while scoring, every context's escapes are worked out once.
 
-Context bytes are folded to 32 classes (letters, digits, space, marks, bytes
-beyond ASCII) so that the trie has at most 2**15 leaves of 257 symbols: the
-model's size is bounded however large the corpus, and predicted bytes are not
-folded.
+The deepest contexts are four whole bytes. They grow with the corpus, so they
+are a distributed table: texts are read in chunks, and each chunk is sent its
+own contexts by a shuffle join. Contexts of up to three bytes are folded to 32
+classes (letters, digits, space, marks, bytes beyond ASCII), which makes one
+table of at most 2**15 x 257 log-probabilities that every task holds. Predicted
+bytes are not folded.
 
 Beside it stands a unigram base score. Its vocabulary isn't bounded: words
 with at least a 2**-20 share of the training tokens (so at most 2**20 of
@@ -35,6 +36,13 @@ SYMBOLS = 257
 CLASSES = 32
 DEPTH = 3
 CONTEXTS = CLASSES**DEPTH
+#: Whole bytes in a deepest context, and bits of a symbol in a key (context, symbol).
+LONG = 4
+SYMBOL_BITS = 9
+#: Bytes of text that are sent their contexts together (more only for one longer text).
+TEXTS = 16 << 20
+#: Keys that a task holds while it counts.
+HELD_KEYS = 1 << 20
 #: Words with this share of the tokens or more are sent to all tasks.
 HEAD = 1 << 20
 #: Word counts are handed on once a task holds so many words.
@@ -58,17 +66,28 @@ def _class_of(b: int) -> int:
 _CLASS = np.array([_class_of(b) for b in range(256)], np.int64)
 
 
-def places(text: bytes, before: bytes = b"", last: bool = True) -> np.ndarray:
-    """Place in the (context, symbol) table of each byte of a text, and of the end if ``last``; ``before`` are the bytes ahead of it."""
-    lead = (b" " * DEPTH + before)[-DEPTH:]
-    raw = np.frombuffer(lead + text, np.uint8)
-    c = _CLASS[raw]
+def keys(text: bytes, before: bytes = b"", last: bool = True) -> np.ndarray:
+    """(context, symbol) of each byte of a text, and of the end if ``last``; ``before`` are the bytes ahead of it."""
+    raw = np.frombuffer((b" " * LONG + before)[-LONG:] + text, np.uint8).astype(np.int64)
     n = len(text) + last
-    context = (c[:n] * CLASSES + c[1 : n + 1]) * CLASSES + c[2 : n + 2]
-    symbols = np.empty(n, np.int64)
-    symbols[: len(text)] = raw[DEPTH:]
-    symbols[len(text) :] = END
-    return context * SYMBOLS + symbols
+    out = np.zeros(n, np.int64)
+    for i in range(LONG):
+        out = out << 8 | raw[i : i + n]
+    out <<= SYMBOL_BITS
+    out[: len(text)] |= raw[LONG:]
+    out[len(text) :] |= END
+    return out
+
+
+def folded(context: np.ndarray) -> np.ndarray:
+    """The folded shorter context of each deepest one."""
+    byte = [_CLASS[context >> 8 * i & 0xFF] for i in reversed(range(DEPTH))]
+    return (byte[0] * CLASSES + byte[1]) * CLASSES + byte[2]
+
+
+def places(key: np.ndarray) -> np.ndarray:
+    """Place of keys in the table of folded contexts."""
+    return folded(key >> SYMBOL_BITS) * SYMBOLS + (key & (1 << SYMBOL_BITS) - 1)
 
 
 def _exclude(n: np.ndarray, seen: np.ndarray, further: np.ndarray) -> np.ndarray:
@@ -109,77 +128,213 @@ def compile_table(counts: np.ndarray) -> np.ndarray:
     return table
 
 
-def _ppm_pieces(text: bytes) -> Iterator[np.ndarray]:
+def _keys_of(text: bytes) -> Iterator[np.ndarray]:
     before, parts = b"", list(slices(text))
     for i, part in enumerate(parts):
-        yield places(part, before, i == len(parts) - 1)
-        before = (before + part)[-DEPTH:]
+        yield keys(part, before, i == len(parts) - 1)
+        before = (before + part)[-LONG:]
+
+
+def _distinct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of texts, the number of each key among them, and the keys of each text."""
+    parts = [[p for p in _keys_of(t)] for t in texts]
+    coded = pa.array(np.concatenate([p for x in parts for p in x])).dictionary_encode()
+    return coded.dictionary.to_numpy(), coded.indices.to_numpy(), np.array([sum(map(len, x)) for x in parts], np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to counts: rows (word, place, n), a word or a place in the PPM table."""
+    """Texts to counts: rows (word, place, n), a word, a place in the table of folded contexts, or -1 - key for a deepest one."""
     words: Counter[bytes] = Counter()
-    table = np.zeros(CONTEXTS * SYMBOLS, np.int64)
+    held, n_held = [], 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        keys, values = list(words.keys()), list(words.values())
-        for i in range(0, len(keys), 1 << 16):
-            k = keys[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.nulls(len(k), pa.int32()), pa.array(values[i : i + (1 << 16)], pa.int64())], names=["word", "place", "n"])
+        got, values = list(words.keys()), list(words.values())
+        for i in range(0, len(got), 1 << 16):
+            k = got[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.nulls(len(k), pa.int64()), pa.array(values[i : i + (1 << 16)], pa.int64())], names=["word", "place", "n"])
         words.clear()
 
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        coded = pa.array(np.concatenate([k for k, _ in held])).dictionary_encode()
+        n = np.bincount(coded.indices.to_numpy(), np.concatenate([n for _, n in held]), len(coded.dictionary))
+        return coded.dictionary.to_numpy(), n.astype(np.int64)
+
+    def flush_keys() -> Iterator[pa.RecordBatch]:
+        key, n = merged()
+        at, which = np.unique(places(key), return_inverse=True)
+        for place, count in ((at, np.bincount(which, n).astype(np.int64)), (-1 - key, n)):
+            for i in range(0, len(place), 1 << 16):
+                part = place[i : i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(count[i : i + (1 << 16)])], names=["word", "place", "n"])
+
     for b in batches:
         texts = [t.lower() for t in text_bytes(b.column(0))]
         words[END_WORD] += len(texts)
         for i, j in groups_of(texts):
-            at = np.concatenate([p for t in texts[i:j] for p in _ppm_pieces(t)])
-            if len(at) > len(table) // 16:
-                table += np.bincount(at, minlength=len(table))
-            else:
-                where, n = np.unique(at, return_counts=True)
-                table[where] += n
+            key, index, _ = _distinct(texts[i:j])
+            held.append((key, np.bincount(index, minlength=len(key))))
+            n_held += len(key)
+            if n_held > HELD_KEYS:
+                held[:] = [merged()]
+                n_held = len(held[0][0])
+                if n_held > HELD_KEYS // 2:
+                    yield from flush_keys()
+                    held.clear()
+                    n_held = 0
             for t in texts[i:j]:
                 for part in slices(t):
                     words.update(part.split())
             if len(words) > HELD_WORDS:
                 yield from flush()
     yield from flush()
-    at = np.flatnonzero(table)
-    yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(at.astype(np.int32)), pa.array(table[at])], names=["word", "place", "n"])
+    if held:
+        yield from flush_keys()
 
 
-def _scorer(model):
+def _deepest(trie):
+    """Rows (context, seen: symbols and counts) to (context, symbols, scores, met, unmet).
+
+    ``scores`` are the log-probabilities of the symbols seen; ``met`` and
+    ``unmet`` are added to the folded table's log-probability of any other
+    symbol, one that the folded context has seen or has not: they hold the
+    escape, and the folded context's share without the symbols excluded.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, times = trie.value
+        total = np.bincount(at // SYMBOLS, times, CONTEXTS)
+        kinds = np.bincount(at // SYMBOLS, minlength=CONTEXTS)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            context, seen = b.column(0).to_numpy(), b.column(1)
+            flat, sizes = seen.flatten(), np.diff(seen.offsets.to_numpy())
+            symbol, n = flat.field(0).to_numpy().astype(np.int64), flat.field(1).to_numpy().astype(np.float64)
+            owner, short = np.repeat(np.arange(len(context)), sizes), folded(context)
+            shorter = times[np.searchsorted(at, short[owner] * SYMBOLS + symbol)]
+            own = np.bincount(owner, n, len(context))
+            left = total[short] - np.bincount(owner, shorter, len(context))
+            more = kinds[short] - sizes
+            escape = np.where(sizes == SYMBOLS, 0, sizes)
+            whole = np.where(kinds[short] == SYMBOLS, 0, kinds[short])
+            again = np.where(kinds[short] == SYMBOLS, 0, more)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                out = np.log10(escape / (own + escape))
+                met = out + np.log10((total[short] + whole) / (left + again))
+                share = np.where(more > 0, again / (left + again), 1.0)
+                unmet = out + np.log10((total[short] + whole) / whole * share)
+                scores = np.log10(n / (own + escape)[owner])
+            lists = lambda x, t: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(x, t))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), lists(symbol.astype(np.int16), pa.int16()), lists(scores.astype(np.float32), pa.float32()), pa.array(met.astype(np.float32)), pa.array(unmet.astype(np.float32))],
+                names=["context", "symbols", "scores", "met", "unmet"],
+            )
+
+    return run
+
+
+CHUNK = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("texts", pa.binary()), ("contexts", pa.list_(pa.int64()))])
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, held_out, text) to chunks of whole texts (compressed), each with its distinct deepest contexts."""
+    row, ids, held, texts, contexts, size = task_id() << 33, [], [], [], [], 0
+
+    def close() -> pa.RecordBatch:
+        found = np.unique(np.concatenate(contexts))
+        packed = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
+        return pa.RecordBatch.from_pydict({"chunk": [row], "doc_ids": [ids], "held_out": [held], "sizes": [[len(t) for t in texts]], "texts": [packed], "contexts": [found]}, schema=CHUNK)
+
+    for b in batches:
+        lower = [t.lower() for t in text_bytes(b.column(2))]
+        for i, j in groups_of(lower):
+            more = sum(map(len, lower[i:j]))
+            if texts and size + more > TEXTS:
+                yield close()
+                row, ids, held, texts, contexts, size = row + len(texts), [], [], [], [], 0
+            contexts.append(np.unique(_distinct(lower[i:j])[0] >> SYMBOL_BITS))
+            ids += b.column(0)[i:j].to_pylist()
+            held += b.column(1)[i:j].to_pylist()
+            texts += lower[i:j]
+            size += more
+    if texts:
+        yield close()
+
+
+class _Deepest:
+    """A chunk's contexts, opened for scoring."""
+
+    def __init__(self, rows: pa.Array):
+        context, order = rows.field(0).to_numpy(), np.argsort(rows.field(0).to_numpy())
+        self.context = context[order]
+        self.met, self.unmet = (rows.field(i).to_numpy()[order].astype(np.float64) for i in (3, 4))
+        sizes = np.diff(rows.field(1).offsets.to_numpy())
+        key = np.repeat(context, sizes) << SYMBOL_BITS | rows.field(1).flatten().to_numpy().astype(np.int64)
+        by_key = np.argsort(key)
+        self.key, self.score = key[by_key], rows.field(2).flatten().to_numpy()[by_key].astype(np.float64)
+
+    def scores(self, key: np.ndarray, table: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        at = places(key)
+        out = table[at].astype(np.float64)
+        if not len(self.context):
+            return out
+        context = key >> SYMBOL_BITS
+        i = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
+        known = self.context[i] == context
+        out += np.where(known, np.where(seen[at], self.met[i], self.unmet[i]), 0.0)
+        k = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[k] == key, self.score[k], out)
+
+
+SCORED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_score", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))])
+
+
+def _scorer(model, trie):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, head = model.value
-        get, row = head.get, task_id() << 33
+        seen = np.zeros(CONTEXTS * SYMBOLS, bool)
+        seen[trie.value[0]] = True
         for b in batches:
-            out = {k: [] for k in ("n_tokens", "head_known", "head_score", "score", "tail")}
-            for text in (t.lower() for t in text_bytes(b.column(2))):
-                known, total, tail, n = 0, 0.0, Counter(), 0
-                for part in slices(text):
-                    words = part.split()
-                    got = list(map(get, words))
-                    rare = [w for w, v in zip(words, got, strict=True) if v is None]
-                    n += len(words)
-                    known += len(words) - len(rare)
-                    total += math.fsum(v for v in got if v is not None)
-                    tail.update(rare)
-                end = get(END_WORD)
-                out["n_tokens"].append(n + 1)
-                out["head_known"].append(known + (end is not None))
-                out["head_score"].append(total + (end or 0.0))
-                if end is None:
-                    tail[END_WORD] += 1
-                out["score"].append(sum(float(table[p].sum(dtype=np.float64)) for p in _ppm_pieces(text)))
-                out["tail"].append([{"word": w, "n": c} for w, c in tail.items()])
-            ids = np.arange(row, row + b.num_rows)
-            row += b.num_rows
-            made = pa.RecordBatch.from_pydict(out, schema=pa.schema([("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_score", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), b.column(0), b.column(1), *made.columns], names=["row_id", "doc_id", "held_out", *made.schema.names])
+            for r in range(b.num_rows):
+                row, ids, held, sizes = (b.column(k)[r].as_py() for k in range(4))
+                ends = np.cumsum(sizes)
+                whole = memoryview(pa.decompress(b.column(4)[r].as_buffer(), int(ends[-1]), codec="zstd"))
+                texts = [bytes(whole[e - n : e]) for e, n in zip(ends.tolist(), sizes, strict=True)]
+                found = b.column(5)[r].values
+                deepest = _Deepest(b.column(5).values.slice(0, 0) if found is None else found)
+                for i, j in groups_of(texts):
+                    yield _score_group(row + i, ids[i:j], held[i:j], texts[i:j], deepest, table, seen, head)
 
     return run
 
 
+def _score_group(row: int, ids: list, held: list, texts: list[bytes], deepest: _Deepest, table: np.ndarray, seen: np.ndarray, head: dict) -> pa.RecordBatch:
+    key, index, lengths = _distinct(texts)
+    each = deepest.scores(key, table, seen)[index]
+    out = {k: [] for k in SCORED.names}
+    out["row_id"], out["doc_id"], out["held_out"] = list(range(row, row + len(texts))), ids, held
+    out["score"] = np.add.reduceat(each, np.cumsum(lengths) - lengths)
+    get = head.get
+    end = get(END_WORD)
+    for text in texts:
+        known, total, tail, n = 0, 0.0, Counter(), 0
+        for part in slices(text):
+            words = part.split()
+            got = list(map(get, words))
+            rare = [w for w, v in zip(words, got, strict=True) if v is None]
+            n += len(words)
+            known += len(words) - len(rare)
+            total += math.fsum(v for v in got if v is not None)
+            tail.update(rare)
+        out["n_tokens"].append(n + 1)
+        out["head_known"].append(known + (end is not None))
+        out["head_score"].append(total + (end or 0.0))
+        if end is None:
+            tail[END_WORD] += 1
+        out["tail"].append([{"word": w, "n": c} for w, c in tail.items()])
+    return pa.RecordBatch.from_pydict(out, schema=SCORED)
+
+
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """Score every whole text of rows (doc_id, text) with models learned where ``held_out`` is false.
 
@@ -191,18 +346,33 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(_count, "word binary, place int, n long")
+    counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(_count, "word binary, place long, n long")
     counts = materialise(counted.groupBy("word", "place").agg(F.sum("n").alias("n")), "lm-counts")
     words = counts.filter(F.col("word").isNotNull()).select("word", "n")
     total, distinct = words.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     common = F.col("n") * HEAD >= total
     head = {bytes(r[0]): math.log10(r[1] + 0.5) for r in words.filter(common & (F.col("n") > 0)).collect()}
     # at most CONTEXTS * SYMBOLS places, whatever the corpus
-    trie = counts.filter(F.col("place").isNotNull()).select("place", "n").toArrow()
+    folds = counts.filter("place >= 0").select("place", "n").toArrow()
+    at, times = folds.column(0).to_numpy(), folds.column(1).to_numpy()
+    order = np.argsort(at)
+    at, times = at[order], times[order]
     table = np.zeros(CONTEXTS * SYMBOLS, np.int64)
-    table[trie.column(0).to_numpy()] = trie.column(1).to_numpy()
+    table[at] = times
+    trie = spark.sparkContext.broadcast((at, times))
     model = spark.sparkContext.broadcast((compile_table(table.reshape(CONTEXTS, SYMBOLS)).ravel(), head))
-    scored = rows.mapInArrow(_scorer(model), "row_id long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double, tail array<struct<word: binary, n: long>>")
+    del table
+    key = -1 - F.col("place")
+    seen = F.struct(key.bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)).alias("symbol"), "n")
+    by_context = counts.filter("place < 0").groupBy(F.shiftright(key, SYMBOL_BITS).alias("context")).agg(F.collect_list(seen).alias("seen"))
+    deepest = by_context.mapInArrow(_deepest(trie), "context long, symbols array<short>, scores array<float>, met float, unmet float")
+    chunks = rows.mapInArrow(_chunks, "chunk long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, texts binary, contexts array<long>")
+    chunks = materialise(chunks, "lm-chunks")
+    sent = chunks.select("chunk", F.explode("contexts").alias("context")).join(deepest, "context")
+    # at most as many as a chunk has bytes
+    sent = sent.groupBy("chunk").agg(F.collect_list(F.struct("context", "symbols", "scores", "met", "unmet")).alias("found"))
+    ready = chunks.drop("contexts").join(sent, "chunk", "left")
+    scored = ready.mapInArrow(_scorer(model, trie), "row_id long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double, tail array<struct<word: binary, n: long>>")
     scored = materialise(scored, "lm-scored")
     tail = scored.select("row_id", F.explode("tail").alias("t")).select("row_id", "t.word", F.col("t.n").alias("times"))
     rare = words.filter(~common & (F.col("n") > 0))
