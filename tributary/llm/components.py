@@ -9,9 +9,13 @@ from tributary.llm.common import materialise
 
 
 def _toward_least(links: DataFrame) -> DataFrame:
-    """Links (x, y) with, for each, ``least``: the least of x and all its y."""
+    """Links (x, y) with, for each, ``least``: the least of x and all its y.
+
+    The least ids are written first, so that the join reads plain shuffles and
+    the links of a large group's centre, which is one x, can be split.
+    """
     least = links.groupBy("x").agg(F.min("y").alias("least")).withColumn("least", F.least("x", "least"))
-    return links.join(least, "x")
+    return links.join(materialise(least, "least"), "x")
 
 
 def _large_star(links: DataFrame) -> DataFrame:
