@@ -41,6 +41,8 @@ LONG = 4
 SYMBOL_BITS = 9
 #: Bytes of text that are sent their contexts together (more only for one longer text).
 TEXTS = 16 << 20
+#: Bytes of text whose keys are worked out at once (8 bytes a key, in several arrays).
+KEYED = 1 << 20
 #: Keys that a task holds while it counts.
 HELD_KEYS = 1 << 20
 #: Words with this share of the tokens or more are sent to all tasks.
@@ -170,7 +172,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [t.lower() for t in text_bytes(b.column(0))]
         words[END_WORD] += len(texts)
-        for i, j in groups_of(texts):
+        for i, j in groups_of(texts, KEYED):
             key, index, _ = _distinct(texts[i:j])
             held.append((key, np.bincount(index, minlength=len(key))))
             n_held += len(key)
@@ -247,7 +249,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         lower = [t.lower() for t in text_bytes(b.column(2))]
-        for i, j in groups_of(lower):
+        for i, j in groups_of(lower, KEYED):
             more = sum(map(len, lower[i:j]))
             if texts and size + more > TEXTS:
                 yield close()
@@ -302,7 +304,7 @@ def _scorer(model, trie):
                 texts = [bytes(whole[e - n : e]) for e, n in zip(ends.tolist(), sizes, strict=True)]
                 found = b.column(5)[r].values
                 deepest = _Deepest(b.column(5).values.slice(0, 0) if found is None else found)
-                for i, j in groups_of(texts):
+                for i, j in groups_of(texts, KEYED):
                     yield _score_group(row + i, ids[i:j], held[i:j], texts[i:j], deepest, table, seen, head)
 
     return run
