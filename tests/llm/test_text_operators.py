@@ -495,6 +495,45 @@ def test_distinct_documents(spark, odd, empty):
     assert simhash.distinct_documents(odd).count() == len(ODD) - 3
 
 
+def partial_copies(rng, changed, words=150):
+    """Pairs of texts of ``words`` different words, the second with its last few words changed: similarity (words - 4 - c) / (words - 4 + c)."""
+    rows = []
+    for g, c in enumerate(changed):
+        base = [f"{g}x{w}" for w in rng.integers(0, 1 << 40, words)]
+        rows += [(2 * g, " ".join(base), "en", "a"), (2 * g + 1, " ".join(base[: words - c] + [f"new{g}x{i}" for i in range(c)]), "en", "a")]
+    return rows
+
+
+def brute_kept(rows, limit=0.8):
+    """doc_ids that stay if texts of a five-word-shingle similarity of ``limit`` or more are linked."""
+    sets = []
+    for _, t, *_ in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)})
+    root = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= limit * len(a | b):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    best = {}
+    for (d, *_), r in zip(rows, root, strict=True):
+        best[r] = min(best.get(r, d), d)
+    return sorted(best.values())
+
+
+def test_only_similar_documents_are_dropped(spark):
+    rng = np.random.default_rng(8)
+    # similarities of 0.65 to 0.95, and a chain whose neighbours are similar but whose ends aren't
+    rows = partial_copies(rng, [c for c in range(4, 32) for _ in range(3)])
+    base = rows[0][1].split()
+    rows += [(1000 + i, " ".join(["c"] + base[: 149 - 7 * i] + [f"chain{j}" for j in range(7 * i)]), "en", "a") for i in range(4)]
+    want = brute_kept(rows)
+    assert 100 < len(want) < len(rows)
+    for limit in ({}, {"fragment": 3}):
+        assert sorted(r.doc_id for r in simhash.distinct_documents(documents(spark, rows), **limit).collect()) == want
+
+
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=30))
 @settings(max_examples=5, deadline=None)
 def test_components(spark, links):

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tributary.llm.common import join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
 from tributary.llm.components import components
+from tributary.llm.jaccard import distinct_documents as distinct_documents
 
 FAN = 16
 #: Pairs of fingerprint and node that are held at once.
@@ -301,19 +302,3 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame
     marked = materialise(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words), "fingerprints")
     of_code = group_codes(marked, F.col("doc_id"), most=most)
     return marked.join(of_code, "code").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
-
-
-def distinct_documents(docs: DataFrame, words: int = 5, parts: int = 4, most: int = 48, tables: int = 48, bits: int = 16) -> DataFrame:
-    """One document of each group of near copies, the one of least (doc_id, row), all columns kept.
-
-    Shingles are of five words. Fingerprints have 256 bits: two texts with a
-    Jaccard similarity of 0.8 differ in 38.8 bits on average (standard
-    deviation 5.7), so 48 takes in nearly all from 0.8 on. Candidates meet in
-    one of 48 draws of 16 bits (97 % of pairs at 0.8, over 99.6 % from 0.85).
-    Texts without words are one group; null doc_ids come first.
-    """
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text")
-    rows = materialise(rows.withColumn("at", F.monotonically_increasing_id()), "documents")
-    marked = materialise(fingerprints(rows.select("doc_id", "at", "text"), words, parts), "fingerprints")
-    first = group_codes(marked, F.struct("doc_id", "at"), most=most, parts=parts, tables=tables, bits=bits).select(F.col("first.at").alias("at")).distinct()
-    return rows.join(first, "at", "left_semi").select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm import common, langid, mixing, packing, quality, simhash
+from tributary.llm import common, jaccard, langid, mixing, packing, quality
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -28,7 +28,7 @@ def apply_quality(docs: DataFrame) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8)."""
-    return simhash.distinct_documents(docs)
+    return jaccard.distinct_documents(docs)
 
 
 def mix_to_targets(docs: DataFrame) -> DataFrame:
