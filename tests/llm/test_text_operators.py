@@ -534,6 +534,13 @@ def test_only_similar_documents_are_dropped(spark):
         assert sorted(r.doc_id for r in simhash.distinct_documents(documents(spark, rows), **limit).collect()) == want
 
 
+def test_no_pair_of_similar_documents_is_lost(spark):
+    # groups of two just above the limit, so that no third copy makes up for a miss
+    rows = partial_copies(np.random.default_rng(12), [16] * 200) + [(1000 + d, t, g, s) for d, t, g, s in partial_copies(np.random.default_rng(13), [2] * 100, 24)]
+    kept = simhash.distinct_documents(documents(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == [2 * i for i in range(200)] + [1000 + 2 * i for i in range(100)]
+
+
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=30))
 @settings(max_examples=5, deadline=None)
 def test_components(spark, links):

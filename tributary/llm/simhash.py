@@ -203,19 +203,6 @@ def block_routes(codes: np.ndarray, most: int) -> np.ndarray:
     return np.stack([cut(a, b).astype(np.int64) | i << 32 for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))], axis=1)
 
 
-def sampled_routes(codes: np.ndarray, tables: int, bits: int, seed: int = 11) -> np.ndarray:
-    """(n, tables) groups of long codes, each by a fixed draw of bits."""
-    rng, width = np.random.default_rng(seed), 64 * codes.shape[1]
-    weights = (1 << np.arange(bits)).astype(np.int64)
-    draws = [rng.choice(width, bits, replace=False) for _ in range(tables)]
-    out = np.empty((len(codes), tables), np.int64)
-    for i in range(0, len(codes), 4096):
-        spread = np.unpackbits(codes[i : i + 4096].view(np.uint8), axis=1, bitorder="little").astype(np.int64)
-        for t, draw in enumerate(draws):
-            out[i : i + 4096, t] = spread[:, draw] @ weights | t << 32
-    return out
-
-
 def _router(route: Callable[[np.ndarray], np.ndarray], parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -259,16 +246,14 @@ def _index_groups(most: int, parts: int):
     return run
 
 
-def near_links(codes: DataFrame, most: int, parts: int = 1, tables: int = 0, bits: int = 16, fragment: int = FRAGMENT) -> DataFrame:
+def near_links(codes: DataFrame, most: int, parts: int = 1, fragment: int = FRAGMENT) -> DataFrame:
     """Spanning links (x, y) of distinct codes (column code) that differ in ``most`` or fewer bits and meet in a group.
 
-    Groups are blocks of bits, in which every such pair meets, or, with
-    ``tables``, that many draws of ``bits`` bits. A group beyond ``fragment``
-    codes is dealt out as all pairs of its fragments, so that no task holds it
-    whole and no pair is lost.
+    Groups are blocks of bits, in which every such pair meets. A group beyond
+    ``fragment`` codes is dealt out as all pairs of its fragments, so that no
+    task holds it whole and no pair is lost.
     """
-    route = (lambda c: sampled_routes(c, tables, bits)) if tables else (lambda c: block_routes(c, most))
-    routed = codes.select("code").mapInArrow(_router(route, parts), f"route long, code {_kind(parts)}")
+    routed = codes.select("code").mapInArrow(_router(lambda c: block_routes(c, most), parts), f"route long, code {_kind(parts)}")
     # few: a group has more than ``fragment`` members
     large = routed.groupBy("route").count().filter(F.col("count") > fragment).select("route", F.ceil(F.col("count") / fragment).cast("int").alias("of"))
     dealt = join_small(routed, materialise(large, "large"), "route", "left")
