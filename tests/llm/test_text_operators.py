@@ -265,6 +265,16 @@ def test_joined_texts_score_like_single_ones(spark):
     assert np.allclose(together, alone, atol=1e-5)
 
 
+@pytest.mark.parametrize("languages", [["en"], ["de", "en"], ["de", "en", "fr"]])
+def test_other_languages_are_rejected(spark, languages):
+    model = langid.train(make_labelled(spark), F.col("lang").isin(languages))
+    other = ["这是一篇用另一种语言写的文章，内容很长。", "зто другой язык и слова другие", "qxzzq kkvkx vvjjq zzkqx jjxkv qkvxz zxzxk"]
+    rows = langid.identify(documents(spark, [(i, t, None, "s") for i, t in enumerate(other)]), model).collect()
+    assert [r.language.rejected for r in rows] == [True] * len(other)
+    own = langid.identify(make_labelled(spark).filter(F.col("lang").isin(languages)), model).collect()
+    assert np.mean([r.language.rejected for r in own]) < 0.02
+
+
 # --- quality ---------------------------------------------------------------------------
 
 

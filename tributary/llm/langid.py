@@ -5,7 +5,9 @@ with the word's edges. Each is hashed to a row of an embedding table; the
 text's vector is their mean, and a linear layer with softmax gives language
 probabilities. Both are trained in numpy by stochastic gradient descent on a
 bounded sample of labelled rows, a part of which calibrates the scores'
-temperature and the score under which an answer is rejected.
+temperature and two limits under which an answer is rejected: its score, and
+how common its subwords are in the training texts, which tells texts of other
+languages even where one language's score must be high, as with one or two.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ MOST_LANGUAGES = 1_000
 EPOCHS = 6
 BATCH = 32
 RATE = 0.5
-#: Share of right answers on the calibration rows that rejection may cost.
+#: Share of right answers on the calibration rows that each limit of rejection may cost.
 MOST_REJECTED = 0.001
+#: Share that a subword without training texts counts with.
+UNSEEN = 2.0**-20
 ORDERS = (1, 2, 3, 4)
 #: Bytes whose subwords are held at once.
 WINDOW = 1 << 20
@@ -84,33 +88,40 @@ class Model:
     #: What a subword adds to each language's logit: embedding times output layer.
     table: np.ndarray
     bias: np.ndarray
+    #: Of each subword, log2 of its share in the training texts.
+    known: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    least_known: float = float("-inf")
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
-        """Mean over each text's subwords; texts are joined so that short ones share the work."""
-        out = np.zeros((len(texts), len(self.languages)))
+        return self.means(texts)[:, :-1] + self.bias
+
+    def means(self, texts: list[bytes]) -> np.ndarray:
+        """Means of the table and of ``known`` over each text's subwords; texts are joined so that short ones share the work."""
+        table = np.c_[self.table, self.known]
+        out = np.zeros((len(texts), table.shape[1]))
         for i, j in groups_of(texts, WINDOW):
             if j - i == 1 and len(texts[i]) > WINDOW:
-                total, n = np.zeros(len(self.languages)), 0
-                for got in subwords(texts[i], len(self.table)):
-                    total += self.table[got].sum(axis=0, dtype=np.float64)
+                total, n = np.zeros(table.shape[1]), 0
+                for got in subwords(texts[i], len(table)):
+                    total += table[got].sum(axis=0, dtype=np.float64)
                     n += len(got)
                 out[i] = total / max(1, n)
                 continue
             sizes = np.array([len(t) + 2 for t in texts[i:j]])
             ends = np.cumsum(sizes)
             folded = _FOLD[np.frombuffer(b" " + b"  ".join(texts[i:j]) + b" ", np.uint8)]
-            total, n = np.zeros((j - i, len(self.languages))), np.zeros(j - i)
+            total, n = np.zeros((j - i, table.shape[1])), np.zeros(j - i)
             for order in ORDERS:  # two edges between texts: no run holds letters of both
-                got = _hashes(folded, order, len(self.table))
+                got = _hashes(folded, order, len(table))
                 starts = np.minimum(ends - sizes, max(0, len(got) - 1))
                 if not len(got):
                     continue
-                total += np.add.reduceat(self.table[got], starts, axis=0, dtype=np.float64)
+                total += np.add.reduceat(table[got], starts, axis=0, dtype=np.float64)
                 n += np.add.reduceat((got > 0).astype(np.int64), starts)
             out[i:j] = total / np.maximum(n, 1)[:, None]
-        return out + self.bias
+        return out
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         x = logits / self.temperature
@@ -153,13 +164,18 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str], se
             # mean pooling spreads a step thinly over many rows: embeddings take a larger one
             np.add.at(embed, at, -rate * 4 * share * back[owner])
     embed[0] = 0
-    model = Model(languages, embed @ out, bias)
+    seen = np.zeros(BUCKETS)
+    for i in train:
+        seen[rows[i][0]] += rows[i][1]
+    known = np.log2(seen / max(1.0, seen.sum()) + UNSEEN).astype(np.float32)
+    known[0] = 0
+    model = Model(languages, embed @ out, bias, known)
     calibrate(model, [rows[i] for i in sorted(held)] or rows)
     return model
 
 
 def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
-    """Choose the temperature of least loss, and the score that rejects few right answers."""
+    """Choose the temperature of least loss, and the score and commonness of subwords that reject few right answers."""
     logits = np.array([(model.table[at] * share[:, None]).sum(axis=0) for at, share, _ in rows]).reshape(len(rows), -1) + model.bias
     truth = np.array([t for _, _, t in rows], np.int64)
     losses = []
@@ -169,9 +185,13 @@ def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> N
         losses.append(-np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean())
     model.temperature = float(grid[int(np.argmin(losses))])
     p = model.probabilities(logits)
-    right = np.sort(p.max(axis=1)[p.argmax(axis=1) == truth])
-    # right answers fix an upper bound; half of it leaves room for unseen texts
-    model.threshold = float(min(0.5, 0.5 * right[int(MOST_REJECTED * len(right))])) if len(right) else 0.0
+    right = p.argmax(axis=1) == truth
+    known = np.array([(model.known[at] * share).sum() for at, share, _ in rows])
+    if right.any():
+        place = int(MOST_REJECTED * right.sum())
+        # rounding differs between ways to sum
+        model.threshold = float(np.sort(p.max(axis=1)[right])[place]) - 1e-6
+        model.least_known = float(np.sort(known[right & (known < 0)])[place]) - 1e-3 if (right & (known < 0)).sum() > place else float("-inf")
 
 
 def train(docs: DataFrame, use: Column, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
@@ -210,7 +230,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Only the text is read. Null texts and texts without a letter are ``und``
     with score 0 and are rejected, as is all without a model; other answers are
-    learned languages, and are rejected under the calibrated score. Other
+    learned languages, and are rejected under either calibrated limit. Other
     columns, whatever their names, are kept untouched; equal rows answer alike.
     """
     spark = docs.sparkSession
@@ -224,10 +244,11 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         pred, score, rejected = [UNDETERMINED] * n, np.zeros(n), np.ones(n, bool)
         some = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False)) if m else []
         if len(some):
-            p = m.probabilities(m.logits(text_bytes(texts.take(pa.array(some)))))
+            means = m.means(text_bytes(texts.take(pa.array(some))))
+            p = m.probabilities(means[:, :-1] + m.bias)
             best = p.argmax(axis=1)
             score[some] = p.max(axis=1)
-            rejected[some] = score[some] < m.threshold
+            rejected[some] = (score[some] < m.threshold) | (means[:, -1] < m.least_known)
             for i, b in zip(some.tolist(), best.tolist(), strict=True):
                 pred[i] = m.languages[b]
         return [pa.array(pred), pa.array(score), pa.array(rejected)]
