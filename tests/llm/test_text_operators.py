@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tributary.llm import common, dac, langid, lm, mixing, packing, quality, sharding, simhash, stages, tokencount, wordids
+from tributary.llm import common, dac, jaccard, langid, lm, mixing, packing, quality, sharding, simhash, stages, tokencount, wordids
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, rank int, row string, taken long"
@@ -551,6 +551,26 @@ def test_no_pair_of_similar_documents_is_lost(spark):
     assert sorted(r.doc_id for r in kept) == [2 * i for i in range(200)] + [1000 + 2 * i for i in range(100)]
 
 
+def test_large_groups_of_near_copies_lose_no_link(spark, monkeypatch):
+    # clusters of copies that share a passage with each other and with single documents, and steps from one cluster to the next
+    rng = np.random.default_rng(17)
+    word = lambda n: [f"q{w}" for w in rng.integers(0, 1 << 40, n)]
+    shared, rows = word(60), []
+    for g in range(3):
+        base = shared + word(40)
+        rows += [(len(rows) + i, " ".join(base[:99] + word(1)), "en", "a") for i in range(25)]
+        step = base
+        for _ in range(3):
+            step = step[: -9 * (_ + 1)] + word(9 * (_ + 1))
+            rows.append((len(rows), " ".join(step), "en", "a"))
+    rows += [(len(rows) + i, " ".join(shared + word(int(n))), "en", "a") for i, n in enumerate(rng.integers(5, 60, 30))]
+    want = brute_kept(rows)
+    assert 20 < len(want) < 60
+    monkeypatch.setattr(jaccard, "SHARED", 5)
+    for fragment in (4, 1 << 14):
+        assert sorted(r.doc_id for r in simhash.distinct_documents(documents(spark, rows).repartition(3), fragment).collect()) == want
+
+
 @given(st.lists(st.tuples(st.integers(0, 25), st.integers(0, 25)), min_size=1, max_size=30))
 @settings(max_examples=5, deadline=None)
 def test_components(spark, links):

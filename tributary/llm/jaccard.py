@@ -1,10 +1,8 @@
-"""Near copies by exact Jaccard similarity of five-word shingles, found without loss by prefix filtering.
+"""Sets of five-word shingles, their rare first parts, and the exact comparison of whole sets.
 
 All shingles have one order, rare ones first. Two sets with a similarity of
-0.8 share a shingle among the first fifth of each, so candidates meet in a
-group per such shingle. Bounds on size and place drop most pairs that merely
-meet; the others are compared by their whole sets, and only links that hold
-join documents. The order is guessed from a sample, which decides how many
+0.8 share a shingle among the first fifth of each, so they meet in a group per
+such shingle. The order is guessed from a sample, which decides how many
 candidates there are, but never which links are found.
 """
 
@@ -19,17 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
-from tributary.llm.components import components
 
 WORDS = 5
 #: Expected number of documents whose shingles tell which are common.
 SAMPLE = 1 << 12
 #: Common shingles that all tasks know.
 COMMON = 1 << 18
-#: Larger groups are dealt out as pairs of fragments of about this size.
-FRAGMENT = 1 << 12
-#: Rows of whole groups, or pairs, that are held at once.
-ROWS = 1 << 17
+#: Documents of the sample that make a shingle common enough to have a large group.
+HOT = 4
+#: Texts that are compared with one copy of another text; beyond that it is sent again.
+SHARED = 1 << 10
 
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -78,186 +75,44 @@ def common_shingles(texts: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray,
     return tokens[order], np.minimum(counts.column("count").to_numpy()[order], 1 << 14).astype(np.int16)
 
 
-def prefix(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles of a set in the common order: more than the fifth that a similar set may lack."""
+def prefix(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, int]:
+    """The first shingles of a set in the common order, more than the fifth that a similar set may lack, and how many of them aren't hot."""
     known, seen = common
     weight = np.zeros(len(tokens), np.int16)
     if len(known):
         at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
         weight = np.where(known[at] == tokens, seen[at], 0).astype(np.int16)
-    return tokens[np.argsort(weight, kind="stable")[: len(tokens) // 5 + 1]]
-
-
-def distinct_sets(texts: DataFrame) -> DataFrame:
-    """One row of each shingle set of rows (doc_id, at, text), that of least (doc_id, at): doc_id, at, n, prefix."""
-    small_batches(texts.sparkSession)
-    shared = texts.sparkSession.sparkContext.broadcast(common_shingles(texts.select("at", "text")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingles(t) for t in text_bytes(b.column(2))]
-            digest = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-            heads = pa.array([prefix(s, shared.value).tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([digest, b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int32()), heads], names=["digest", "doc_id", "at", "n", "prefix"])
-
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    made = texts.select("doc_id", "at", "text").mapInArrow(run, f"digest binary, doc_id {kind}, at long, n int, prefix binary")
-    return made.groupBy("digest").agg(F.min(F.struct("doc_id", "at", "n", "prefix")).alias("least")).select("least.*")
-
-
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (at, n, prefix) to one row per shingle of the prefix and its place."""
-    for b in batches:
-        for i in range(0, b.num_rows, 256):
-            heads = [np.frombuffer(x, np.int64) for x in b.column(2)[i : i + 256].to_pylist()]
-            each = np.repeat(np.arange(len(heads)), list(map(len, heads)))
-            at, n = (b.column(c)[i : i + 256].to_numpy()[each] for c in (0, 1))
-            place = np.concatenate([np.arange(len(h), dtype=np.int32) for h in heads])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (np.concatenate(heads), at, n, place)], names=["token", "at", "n", "place"])
-
-
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by their first column, those that share it with another row."""
-    held, before, names = None, False, []
-    for b in batches:
-        if not b.num_rows:
-            continue
-        names = b.schema.names
-        now = [c.to_numpy() for c in b.columns]
-        columns = now if held is None else [np.r_[h, c] for h, c in zip(held, now, strict=True)]
-        same = columns[0][1:] == columns[0][:-1]
-        keep = np.r_[before, same[:-1]] | same if len(same) else np.zeros(0, bool)
-        yield pa.RecordBatch.from_arrays([pa.array(c[:-1][keep]) for c in columns], names=names)
-        held, before = [c[-1:] for c in columns], bool(same[-1]) if len(same) else before
-    if held is not None and before:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
-
-
-def _pairs(spanning: bool):
-    """Rows (grp, at, n, place, root), whole groups in a row, to pairs (x, y), x > y, that may be similar.
-
-    Pairs of one root are left out. With ``spanning``, each row gives its least partner of each group only.
-    """
-
-    def solve(grp, at, n, place, root) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        order = np.lexsort((at, grp))
-        grp, at, n, place, root = (c[order] for c in (grp, at, n, place, root))
-        n, place = n.astype(np.int64), place.astype(np.int64)
-        starts = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
-        ends = np.repeat(np.r_[starts[1:], len(grp)], np.diff(np.r_[starts, len(grp)]))
-        least, rows, step = np.full(len(grp), -1), np.arange(len(grp)), 0
-        while len(rows):
-            step += 1
-            rows = rows[rows + step < ends[rows]]
-            a, b = rows, rows + step
-            # if this is the first shingle that both have, so many can be shared at most
-            most = np.minimum(n[a] - place[a], n[b] - place[b])
-            fit = (root[a] != root[b]) & (at[a] != at[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])) & (9 * most >= 4 * (n[a] + n[b]))
-            a, b = a[fit], b[fit]
-            if spanning:
-                least[b] = a  # a longer step is to a lesser place
-            elif len(a):
-                yield at[b], at[a]
-        found = np.flatnonzero(least >= 0)
-        if len(found):
-            yield at[found], at[least[found]]
-
-    def packed(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for pair in pairs:
-            held.append(np.stack(pair, axis=1))
-            size += len(pair[0])
-            if size >= ROWS:
-                yield flat(held)
-                held, size = [], 0
-        if held:
-            yield flat(held)
-
-    def flat(held: list[np.ndarray]) -> pa.RecordBatch:
-        x = np.unique(np.concatenate(held), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], names=["x", "y"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for b in batches:
-            if not b.num_rows:
-                continue
-            held.append([c.to_numpy() for c in b.columns])
-            size += b.num_rows
-            if size >= ROWS:
-                columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-                cut = int(np.argmax(columns[0] == columns[0][-1]))  # the last group may go on
-                if cut:
-                    yield from packed(solve(*(c[:cut] for c in columns)))
-                held, size = [[c[cut:] for c in columns]], len(columns[0]) - cut
-        if held:
-            yield from packed(solve(*(np.concatenate(c) for c in zip(*held, strict=True))))
-
-    return run
-
-
-def candidates(met: DataFrame, spanning: bool, fragment: int = FRAGMENT) -> DataFrame:
-    """Distinct pairs (x, y) of rows (token, at, n, place, root); a group beyond ``fragment`` rows is dealt out as all pairs of its fragments."""
-    large = met.groupBy("token").count().filter(F.col("count") > fragment).select("token", F.ceil(F.col("count") / fragment).cast("int").alias("of"))
-    dealt = join_small(met, materialise(large, "large"), "token", "left")
-    mine = F.pmod(F.xxhash64("at"), F.col("of")).cast("int")
-    others = F.transform(F.sequence(F.lit(0), F.col("of") - 1), lambda i: F.least(i, mine) * F.col("of") + F.greatest(i, mine))
-    dealt = dealt.select("*", F.explode(F.when(F.col("of").isNull(), F.array(F.lit(-1))).otherwise(others)).alias("pair"))
-    grouped = dealt.select(F.when(F.col("pair") < 0, F.col("token")).otherwise(F.xxhash64("token", "pair")).alias("grp"), "at", "n", "place", "root")
-    n = shuffle_partitions(met.sparkSession)
-    return grouped.repartition(n, "grp").sortWithinPartitions("grp").mapInArrow(_pairs(spanning), "x long, y long").distinct()
+    first = np.argsort(weight, kind="stable")[: len(tokens) // 5 + 1]
+    return tokens[first], int((weight[first] < HOT).sum())
 
 
 def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose whole shingle sets, of rows (at, text), have a similarity of 0.8 or more."""
-    small_batches(texts.sparkSession)
-    needed = materialise(pairs.select(F.explode(F.array("x", "y")).alias("at")).distinct(), "needed")
+    """The pairs (x, y) whose whole shingle sets, of rows (at, text), have a similarity of 0.8 or more.
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t).tobytes() for t in text_bytes(b.column(1))], pa.binary())], names=["at", "tokens"])
+    A text y is sent once to all its x, or once for each ``SHARED`` of them,
+    where its set is held while theirs pass by.
+    """
+    spark = texts.sparkSession
+    small_batches(spark)
+    pairs = materialise(pairs.select("x", "y"), "pairs")
+    many = pairs.groupBy("y").count().filter(F.col("count") > SHARED).select("y", F.ceil(F.col("count") / SHARED).cast("int").alias("of"))
+    salt = F.pmod(F.xxhash64("x"), F.coalesce("of", F.lit(1))).cast("int").alias("salt")
+    dealt = materialise(join_small(pairs, materialise(many, "many"), "y", "left").select("y", salt, F.col("x").alias("at")), "dealt")
+    centres = materialise(dealt.select("y", "salt").distinct(), "centres")
+    side = lambda of, x: join_small(texts.select("at", "text"), of, "at").select("y", "salt", x.alias("x"), "text")
+    both = side(centres.withColumn("at", F.col("y")), F.lit(None).cast("long")).unionByName(side(dealt, F.col("at")))
+    both = both.repartition(shuffle_partitions(spark), "y", "salt").sortWithinPartitions("y", "salt", F.col("x").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre = np.zeros(0, np.uint64)
         for b in batches:
-            both = zip(*(b.column(i).to_pylist() for i in (2, 3)), strict=True)
-            keep = pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in both], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["x", "y"])
-
-    made = materialise(join_small(texts.select("at", "text"), needed, "at", "left_semi").mapInArrow(sets, "at long, tokens binary"), "sets")
-    side = lambda c: made.select(F.col("at").alias(c), F.col("tokens").alias(f"{c}_tokens"))
-    return pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "x_tokens", "y_tokens").mapInArrow(compare, "x long, y long")
-
-
-def similar_links(texts: DataFrame, sets: DataFrame, fragment: int = FRAGMENT) -> DataFrame:
-    """(x, y) for each of the distinct sets (at, n, prefix) that links to another, y the least ``at`` that x reaches.
-
-    First each document is compared with its least partner of each group. Then
-    all pairs that these links have not joined are compared.
-    """
-    heads = sets.select("at", "n", "prefix").filter("n > 0").mapInArrow(_heads, "token long, at long, n int, place int")
-    n = shuffle_partitions(texts.sparkSession)
-    met = heads.repartition(n, "token").sortWithinPartitions("token").mapInArrow(_met, "token long, at long, n int, place int")
-    met = materialise(met, "met")
-    first = materialise(verified(texts, materialise(candidates(met.withColumn("root", F.col("at")), True, fragment), "pairs")), "first")
-    joined = components(first)
-    roots = joined.select(F.col("x").alias("at"), F.col("y").alias("root"))
-    rooted = materialise(join_small(met, roots, "at", "left").withColumn("root", F.coalesce("root", "at")), "rooted")
-    pairs = materialise(candidates(rooted, False, fragment), "pairs")
-    return joined if pairs.isEmpty() else components(first.unionByName(verified(texts, pairs)))
-
-
-def distinct_documents(docs: DataFrame, fragment: int = FRAGMENT) -> DataFrame:
-    """One document of each group of near copies, the one of least (doc_id, row), all columns kept.
-
-    Two texts are near copies if the Jaccard similarity of their sets of
-    five-word shingles is 0.8 or more, and a group is what such links connect;
-    none is missed and no other link counts. Texts without words are one
-    group; null doc_ids come first.
-    """
-    rows = materialise(docs.select(F.struct("*").alias("row")).withColumn("at", F.monotonically_increasing_id()), "documents")
-    texts = rows.select(F.col("row.doc_id").alias("doc_id"), "at", F.col("row.text").alias("text"))
-    sets = materialise(distinct_sets(texts), "sets")
-    roots = similar_links(texts, sets, fragment).select(F.col("x").alias("at"), F.col("y").alias("root"))
-    placed = materialise(sets.select("doc_id", "at").join(roots, "at", "left").withColumn("root", F.coalesce("root", "at")), "placed")
-    first = placed.groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("first")).select(F.col("first.at").alias("at"))
-    return rows.join(first, "at", "left_semi").select("row.*")
+            found: tuple[list, list] = ([], [])
+            for y, x, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2)), strict=True):
+                if x is None:
+                    centre = shingles(text)
+                elif similar(shingles(text), centre):
+                    found[0].append(x)
+                    found[1].append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["x", "y"])
+
+    return both.select("y", "x", "text").mapInArrow(compare, "x long, y long")

@@ -5,7 +5,13 @@ each is routed to one group per block. A group is sorted by Gray rank, which
 puts fingerprints with long shared patterns side by side, and a tree over the
 sorted run factors the bits that all members of a node share into that node.
 A search goes down with the differences added up on the shared bits so far,
-and drops a whole node once they exceed the limit.
+and drops a whole node once they exceed the limit, or once all its members
+are known to belong with the searched one.
+
+For near copies of a word-shingle similarity the groups are other ones: those
+of the rare shingles that two similar sets must share, since no block of bits
+is short enough. The index then finds which members of a group are near, and
+an exact comparison of the whole sets decides.
 """
 
 from __future__ import annotations
@@ -19,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.llm import jaccard
 from tributary.llm.common import join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
 from tributary.llm.components import components
-from tributary.llm.jaccard import distinct_documents as distinct_documents
 
 FAN = 16
 #: Pairs of fingerprint and node that are held at once.
@@ -30,6 +36,11 @@ PAIRS = 1 << 19
 FRAGMENT = 1 << 14
 #: Rows of whole groups that are indexed at once.
 ROWS = 1 << 17
+#: Longs in the fingerprint of a shingle set.
+SET_PARTS = 4
+#: Bits that fingerprints of similar sets differ in at most. At a similarity of 0.8 the mean is 39 of 256 bits and the
+#: deviation 6 (48 and 6 for sets of four and five shingles, the worst), so more than 80 come once in ten million pairs or less.
+SET_MOST = 80
 
 
 def fingerprint(text: bytes, words: int = 4, seed: int = 42, parts: int = 1) -> np.ndarray:
@@ -113,10 +124,16 @@ def _spread(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class GrayIndex:
-    """Trees over codes (n, parts) sorted by (group, Gray rank); ``starts`` are the groups' first places."""
+    """Trees over codes (n, parts) sorted by (group, Gray rank); ``starts`` are the groups' first places.
+
+    ``tags`` are labels of the codes: no link is sought between codes with an
+    equal label, so a node whose members all have the searched one is dropped.
+    Negative labels are equal to none.
+    """
 
-    def __init__(self, codes: np.ndarray, starts: np.ndarray):
-        self.codes, self.n = codes, len(codes)
+    def __init__(self, codes: np.ndarray, starts: np.ndarray, tags: tuple[np.ndarray, ...] = ()):
+        self.codes, self.n, self.tags = codes, len(codes), tags
+        self.labels = [tags]
         edges = np.r_[starts, self.n].astype(np.int64)
         self.group_starts = edges[:-1]
         one, every = codes, codes
@@ -130,6 +147,7 @@ class GrayIndex:
             first = edges[:-1][owner] + first * FAN
             ends = np.minimum(first + FAN, edges[1:][owner])
             every, one = np.bitwise_and.reduceat(every, first, axis=0), np.bitwise_or.reduceat(one, first, axis=0)
+            self.labels.append(tuple(np.where((low := np.minimum.reduceat(t, first)) == np.maximum.reduceat(t, first), low, -1) for t in self.labels[-1]))
             mask = ~(every ^ one)
             last = last[ends - 1]
             self.levels.append((every & mask, mask, first, ends - first, last))
@@ -170,6 +188,8 @@ class GrayIndex:
     def _keep(self, level: int, who: np.ndarray, nodes: np.ndarray, far: np.ndarray, most: int):
         pattern, _, _, _, last = self.levels[level]
         later = last[nodes] > who
+        for mine, label in zip(self.tags, self.labels[level], strict=True):
+            later &= (label[nodes] != mine[who]) | (label[nodes] < 0)
         who, nodes, far = who[later], nodes[later], far[later]
         far = far + np.bitwise_count((self.codes[who] ^ pattern[nodes]) & self.fresh[level][nodes]).sum(axis=1, dtype=np.int16)
         near = far <= most
@@ -287,3 +307,239 @@ def near_duplicates(docs: DataFrame, words: int = 4, most: int = 4) -> DataFrame
     marked = materialise(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words), "fingerprints")
     of_code = group_codes(marked, F.col("doc_id"), most=most)
     return marked.join(of_code, "code").select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+# --- near copies by shingle similarity -----------------------------------------
+
+_MET = "token long, at long, n int, place int"
+_CODES = [f"code{i}" for i in range(SET_PARTS)]
+
+
+def set_fingerprint(hashes: np.ndarray, parts: int = SET_PARTS) -> np.ndarray:
+    """SimHash of a set of 64-bit hashes; 0 for the empty set."""
+    counts = np.zeros(64 * parts, np.int64)
+    for i in range(0, len(hashes), 1 << 14):
+        counts += _bits(hashes[i : i + (1 << 14)], parts)
+    return np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")
+
+
+def distinct_sets(texts: DataFrame) -> DataFrame:
+    """One row of each shingle set of rows (doc_id, at, text), that of least (doc_id, at): doc_id, at, n, calm, prefix, code0 to code3.
+
+    ``prefix`` are the set's first shingles, of which the first ``calm`` aren't hot.
+    """
+    small_batches(texts.sparkSession)
+    shared = texts.sparkSession.sparkContext.broadcast(jaccard.common_shingles(texts.select("at", "text")))
+    names = ["n", "calm", "prefix", *_CODES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [jaccard.shingles(t) for t in text_bytes(b.column(2))]
+            digest = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            heads = [jaccard.prefix(s, shared.value) for s in sets]
+            codes = np.array([set_fingerprint(s) for s in sets], np.uint64).reshape(-1, SET_PARTS).view(np.int64)
+            columns = [pa.array([len(s) for s in sets], pa.int32()), pa.array([c for _, c in heads], pa.int32()), pa.array([h.tobytes() for h, _ in heads], pa.binary())]
+            yield pa.RecordBatch.from_arrays([digest, b.column(0), b.column(1), *columns, *(pa.array(codes[:, i]) for i in range(SET_PARTS))], names=["digest", "doc_id", "at", *names])
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    made = texts.select("doc_id", "at", "text").mapInArrow(run, f"digest binary, doc_id {kind}, at long, n int, calm int, prefix binary, " + ", ".join(f"{c} long" for c in _CODES))
+    return made.groupBy("digest").agg(F.min(F.struct("doc_id", "at", *names)).alias("least")).select("least.*")
+
+
+def _heads(hot: bool):
+    """Rows (at, n, calm, prefix) to one row per hot (or other) shingle of the prefix and its place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 256):
+                rows = b.slice(i, 256)
+                heads = [np.frombuffer(x, np.int64) for x in rows.column(3).to_pylist()]
+                calm = rows.column(2).to_numpy()
+                lows = calm if hot else np.zeros(len(heads), np.int64)
+                parts = [h[c:] if hot else h[:c] for h, c in zip(heads, calm.tolist(), strict=True)]
+                sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+                each, place = _spread(lows, sizes)
+                at, n = (rows.column(c).to_numpy()[each] for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), pa.array(at), pa.array(n), pa.array(place.astype(np.int32))], names=["token", "at", "n", "place"])
+
+    return run
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by their first column, those that share it with another row."""
+    held, before, names = None, False, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        names = b.schema.names
+        now = [c.to_numpy() for c in b.columns]
+        columns = now if held is None else [np.r_[h, c] for h, c in zip(held, now, strict=True)]
+        same = columns[0][1:] == columns[0][:-1]
+        keep = np.r_[before, same[:-1]] | same if len(same) else np.zeros(0, bool)
+        yield pa.RecordBatch.from_arrays([pa.array(c[:-1][keep]) for c in columns], names=names)
+        held, before = [c[-1:] for c in columns], bool(same[-1]) if len(same) else before
+    if held is not None and before:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
+
+
+def meetings(sets: DataFrame) -> DataFrame:
+    """(token, at, n, place) of the prefixes' shingles that other sets may have as well.
+
+    Hot shingles are known to be shared and aren't shuffled to find that out,
+    so no task holds the rows of a shingle that many documents have.
+    """
+    heads = sets.filter("n > 0").select("at", "n", "calm", "prefix")
+    calm = heads.mapInArrow(_heads(False), _MET).repartition(shuffle_partitions(sets.sparkSession), "token").sortWithinPartitions("token").mapInArrow(_met, _MET)
+    return materialise(calm.unionByName(heads.filter("calm * 8 < octet_length(prefix)").mapInArrow(_heads(True), _MET)), "met")
+
+
+def _may_be_similar(a: np.ndarray, b: np.ndarray, at: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of rows of one group, whether sizes and places allow a similarity of 0.8 if this is the first shingle that both have."""
+    most = np.minimum(n[a] - place[a], n[b] - place[b])
+    return (at[a] != at[b]) & (5 * np.minimum(n[a], n[b]) >= 4 * np.maximum(n[a], n[b])) & (9 * most >= 4 * (n[a] + n[b]))
+
+
+def _group_pairs(neighbours: bool):
+    """Rows (grp, at, n, place, side, root, code0 to code3), whole groups in a row, to pairs (x, y), x > y, that may be similar.
+
+    With ``neighbours``, each row gives its neighbour in Gray order and its
+    group's least row only; else the index gives all pairs of different roots
+    and sides.
+    """
+
+    def solve(grp, at, n, place, side, root, *codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        codes = np.stack(codes, axis=1).view(np.uint64)
+        order = np.lexsort((at, gray_rank(codes[:, 0]), grp))
+        grp, at, n, place, side, root, codes = (c[order] for c in (grp, at, n.astype(np.int64), place.astype(np.int64), side, root, codes))
+        starts = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
+        if not neighbours:
+            for a, b in GrayIndex(codes, starts, (root, side)).links(SET_MOST):
+                fit = _may_be_similar(a, b, at, n, place)
+                yield at[a[fit]], at[b[fit]]
+            return
+        group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(grp)]))
+        least = np.lexsort((at, grp))[starts][group]
+        before = np.maximum(np.arange(len(grp)) - 1, starts[group])
+        for b in (least, before):
+            a = np.flatnonzero(_may_be_similar(np.arange(len(grp)), b, at, n, place))
+            b = b[a]
+            near = np.bitwise_count(codes[a] ^ codes[b]).sum(axis=1, dtype=np.int16) <= SET_MOST
+            yield at[a[near]], at[b[near]]
+
+    def packed(pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for x, y in pairs:
+            held.append(np.stack([np.maximum(x, y), np.minimum(x, y)], axis=1))
+            size += len(x)
+            if size >= ROWS:
+                yield flat(held)
+                held, size = [], 0
+        if size:
+            yield flat(held)
+
+    def flat(held: list[np.ndarray]) -> pa.RecordBatch:
+        x, times = np.unique(np.concatenate(held), axis=0, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(times)], names=["x", "y", "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append([c.to_numpy() for c in b.columns])
+            size += b.num_rows
+            if size >= ROWS:
+                columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+                cut = int(np.argmax(columns[0] == columns[0][-1]))  # the last group may go on
+                if cut:
+                    yield from packed(solve(*(c[:cut] for c in columns)))
+                held, size = [[c[cut:] for c in columns]], len(columns[0]) - cut
+        if held:
+            yield from packed(solve(*(np.concatenate(c) for c in zip(*held, strict=True))))
+
+    return run
+
+
+def _grouped(rows: DataFrame, sets: DataFrame, neighbours: bool) -> DataFrame:
+    """Rows (grp, at, n, place, side, root) with their codes, to distinct pairs (x, y) and how many groups each has."""
+    coded = rows.join(sets.select("at", *_CODES), "at").select("grp", "at", "n", "place", "side", "root", *_CODES)
+    dealt = coded.repartition(shuffle_partitions(rows.sparkSession), "grp").sortWithinPartitions("grp")
+    return dealt.mapInArrow(_group_pairs(neighbours), "x long, y long, times long").groupBy("x", "y").agg(F.sum("times").alias("times"))
+
+
+def first_pairs(met: DataFrame, sets: DataFrame, fragment: int) -> DataFrame:
+    """For each set the one it meets most often, among its neighbours in Gray order and the least of its groups.
+
+    Groups beyond ``fragment`` rows are dealt out; what parts miss of each other is left to remaining_pairs().
+    """
+    large = met.groupBy("token").count().filter(F.col("count") > fragment).select("token", F.ceil(F.col("count") / fragment).cast("int").alias("of"))
+    dealt = join_small(met, materialise(large, "large"), "token", "left")
+    part = F.pmod(F.xxhash64("at"), F.col("of"))
+    none = F.lit(-1).cast("long")
+    rows = dealt.select(F.when(F.col("of").isNull(), F.col("token")).otherwise(F.xxhash64("token", part)).alias("grp"), "at", "n", "place", none.alias("side"), none.alias("root"))
+    pairs = _grouped(rows, sets, True)
+    return pairs.groupBy("x").agg(F.max(F.struct("times", (-F.col("y")).alias("y"))).alias("best")).select("x", (-F.col("best.y")).alias("y"))
+
+
+def remaining_pairs(met: DataFrame, sets: DataFrame, roots: DataFrame, fragment: int) -> DataFrame:
+    """All pairs of different roots that may be similar; ``roots`` (at, root) are those of sets already joined.
+
+    Groups of one root are done. In others, roots with more than ``fragment``
+    rows are dealt out to fragments of their own, the rest of a large group to
+    common ones, and each two fragments that aren't of one root meet.
+    """
+    rooted = materialise(join_small(met, roots, "at", "left").withColumn("root", F.coalesce("root", "at")), "rooted")
+    sizes = rooted.groupBy("token", "root").count().groupBy("token").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum("count").alias("rows"), F.sum(F.when(F.col("count") <= fragment, F.col("count")).otherwise(0)).alias("light"),
+        F.collect_list(F.when(F.col("count") > fragment, F.struct("root", F.ceil(F.col("count") / fragment).cast("int").alias("of")))).alias("heavy"),
+    )
+    shared = materialise(sizes.filter("roots > 1").drop("roots"), "shared")
+    some = join_small(rooted, shared.filter(F.col("rows") <= fragment).select("token"), "token", "left_semi")
+    small = some.select(F.col("token").alias("grp"), "at", "n", "place", F.lit(-1).cast("long").alias("side"), "root")
+    # fragments of a large group: first those of the light rows, then those of each heavy root; label: the root, or -1
+    light = F.ceil(F.col("light") / fragment).cast("int")
+    labels = F.flatten(F.concat(F.array(F.array_repeat(F.lit(-1).cast("long"), light)), F.transform("heavy", lambda h: F.array_repeat(h["root"], h["of"]))))
+    large = shared.filter(F.col("rows") > fragment).select("token", light.alias("light_of"), labels.alias("labels"))
+    dealt = join_small(rooted, materialise(large, "large"), "token")
+    mine = F.array_position("labels", F.col("root")).cast("int")  # from 1; 0 for light rows
+    of = F.when(mine == 0, F.col("light_of")).otherwise(F.size(F.filter("labels", lambda x: x == F.col("root"))))
+    dealt = dealt.withColumn("own", (F.when(mine == 0, 0).otherwise(mine - 1) + F.pmod(F.xxhash64("at"), of)).cast("int"))
+    meets = F.filter(F.sequence(F.lit(0), F.size("labels") - 1), lambda i: (F.get("labels", i) == -1) | (F.get("labels", i) != F.get("labels", F.col("own"))))
+    dealt = dealt.select("token", "at", "n", "place", "root", "own", F.explode(meets).alias("other"))
+    pair = F.struct(F.least("own", "other"), F.greatest("own", "other"))
+    side = F.when(F.col("own") == F.col("other"), -1).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).cast("long")
+    split = dealt.select(F.xxhash64("token", pair).alias("grp"), "at", "n", "place", side.alias("side"), "root")
+    return _grouped(small.unionByName(split), sets, False).select("x", "y")
+
+
+def similar_links(texts: DataFrame, sets: DataFrame, fragment: int = FRAGMENT) -> DataFrame:
+    """(x, y) for each of the distinct sets that links to another, y the least ``at`` that x reaches.
+
+    First each set is compared with its likeliest partner. Then all pairs that
+    these links have not joined are.
+    """
+    met = meetings(sets)
+    tried = materialise(first_pairs(met, sets, fragment), "tried")
+    first = materialise(jaccard.verified(texts, tried), "first")
+    joined = components(first)
+    pairs = remaining_pairs(met, sets, joined.select(F.col("x").alias("at"), F.col("y").alias("root")), fragment)
+    pairs = materialise(pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
+    return joined if pairs.isEmpty() else components(first.unionByName(jaccard.verified(texts, pairs)))
+
+
+def distinct_documents(docs: DataFrame, fragment: int = FRAGMENT) -> DataFrame:
+    """One document of each group of near copies, the one of least (doc_id, row), all columns kept.
+
+    Two texts are near copies if the Jaccard similarity of their sets of
+    five-word shingles is 0.8 or more, and a group is what such links connect;
+    none but what ``SET_MOST`` says is missed, and no other link counts. Texts
+    without words (null, empty) are one group, and so are equal texts; null
+    doc_ids come first; an empty table gives no rows.
+    """
+    rows = materialise(docs.select(F.struct("*").alias("row")).withColumn("at", F.monotonically_increasing_id()), "documents")
+    texts = rows.select(F.col("row.doc_id").alias("doc_id"), "at", F.col("row.text").alias("text"))
+    sets = materialise(distinct_sets(texts), "sets")
+    roots = similar_links(texts, sets, fragment).select(F.col("x").alias("at"), F.col("y").alias("root"))
+    placed = materialise(sets.select("doc_id", "at").join(roots, "at", "left").withColumn("root", F.coalesce("root", "at")), "placed")
+    first = placed.groupBy("root").agg(F.min(F.struct("doc_id", "at")).alias("first")).select(F.col("first.at").alias("at"))
+    return rows.join(first, "at", "left_semi").select("row.*")
