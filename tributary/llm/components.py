@@ -1,7 +1,10 @@
-"""Connected components of a link table by alternating large-star and small-star."""
+"""Connected components: of a link table by alternating large-star and small-star, and of arrays in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,3 +51,23 @@ def components(links: DataFrame) -> DataFrame:
 
 def _mark(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("x", "y").cast("decimal(38,0)"))).first())
+
+
+def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The least place reachable from each of n places."""
+    parent = np.arange(n)
+    for a, b in links:
+        while True:
+            ra, rb = parent[a], parent[b]
+            open_ = ra != rb
+            if not open_.any():
+                break
+            a, b = a[open_], b[open_]
+            low, high = np.minimum(ra[open_], rb[open_]), np.maximum(ra[open_], rb[open_])
+            np.minimum.at(parent, high, low)
+            while True:
+                up = parent[parent]
+                if (up == parent).all():
+                    break
+                parent = up
+    return parent

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
+from tributary.llm.components import forest
 
 WORDS = 5
 #: Expected number of documents whose shingles tell which are common.
@@ -27,6 +28,11 @@ COMMON = 1 << 18
 HOT = 4
 #: Texts that are compared with one copy of another text; beyond that it is sent again.
 SHARED = 1 << 10
+#: Shingles of the sets that are compared in one cell; a set counts with some more, so that a cell has at most 4,096.
+CELL = 1 << 20
+LEAST_WEIGHT = 1 << 8
+#: Pairs of shingles that are added up at once.
+ADDED = 1 << 22
 
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -116,3 +122,89 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], names=["x", "y"])
 
     return both.select("y", "x", "text").mapInArrow(compare, "x long, y long")
+
+
+def overlaps(sets: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """How many shingles each of ``rows`` has in common with each set: shingles of many sets by matrix products, others one by one."""
+    k, sizes = len(sets), np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(k), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.r_[True, flat[1:] != flat[:-1]]
+    start = np.flatnonzero(new)
+    length = np.diff(np.r_[start, len(flat)])
+    which = np.full(k, -1)
+    which[rows] = np.arange(len(rows))
+    out = np.zeros((len(rows), k), np.float32)
+    each = np.repeat(length, length)
+    many = length >= max(32, k // 16)
+    column = np.cumsum(many) - 1
+    dense = np.repeat(many, length)
+    at, who = np.repeat(column, length)[dense], owner[dense]
+    step = max(1, ADDED // max(1, k))
+    for i in range(0, int(many.sum()), step):
+        a, b = np.searchsorted(at, [i, i + step])
+        block = np.zeros((k, step), np.float32)
+        block[who[a:b], at[a:b] - i] = 1
+        out += block[rows] @ block.T
+    some = np.flatnonzero(~dense & (each > 1) & (which[owner] >= 0))
+    cuts = np.r_[np.flatnonzero(np.diff(np.cumsum(each[some]) // ADDED, prepend=0)), len(some)] if len(some) else []
+    begin, first = 0, np.repeat(start, length)
+    for end in cuts:
+        part = some[begin:end]
+        begin = end
+        if len(part):
+            n = each[part]
+            members = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[part], n)
+            pairs = np.repeat(which[owner[part]], n) * k + owner[members]
+            cell, times = np.unique(pairs, return_counts=True)
+            out.ravel()[cell] += times
+    return out
+
+
+def similar_roots(sets: list[np.ndarray], root: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (a, b) of all sets of different roots (and sides, but for -1) that are similar."""
+    n = np.array([len(s) for s in sets], np.float64)
+    names, label = np.unique(root, return_inverse=True)
+    # each pair has a member outside the largest root
+    rows = np.flatnonzero(label != np.argmax(np.bincount(label)))
+    for i in range(0, len(rows), 1024):
+        some = rows[i : i + 1024]
+        found = 9 * overlaps(sets, some).astype(np.float64) >= 4 * (n[some, None] + n)
+        found &= (root[some, None] != root) & ((side[some, None] != side) | (side < 0))
+        a, b = np.nonzero(found)
+        yield some[a], b
+
+
+def compare_cells(texts: DataFrame, cells: DataFrame) -> DataFrame:
+    """Spanning links (x, y) of the similar sets in cells (grp, side, root, at) of rows (at, text); links within a root are left out."""
+    spark = texts.sparkSession
+    small_batches(spark)
+    cells = materialise(cells, "cells")
+    dealt = join_small(texts.select("at", "text"), cells, "at").select("grp", "side", "root", "at", "text")
+
+    def solve(at: list, root: list, side: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        names, label = np.unique(np.array(root), return_inverse=True)
+
+        def links() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            yield from ((label[a], label[b]) for a, b in similar_roots(sets, label, np.array(side)))
+
+        least = forest(len(names), links())
+        moved = np.flatnonzero(least != np.arange(len(names)))
+        return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[least[moved]])], names=["x", "y"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, ([], [], [], [])
+        for b in batches:
+            rows = zip(*(b.column(i).to_pylist() for i in range(4)), text_bytes(b.column(4)), strict=True)
+            for grp, side, root, at, text in rows:
+                if grp != now and held[0]:
+                    yield solve(*held)
+                    held = ([], [], [], [])
+                now = grp
+                for kept, value in zip(held, (at, root, side, shingles(text)), strict=True):
+                    kept.append(value)
+        if held[0]:
+            yield solve(*held)
+
+    return dealt.repartition(shuffle_partitions(spark), "grp").sortWithinPartitions("grp").mapInArrow(run, "x long, y long").distinct()

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tributary.llm import jaccard
 from tributary.llm.common import join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
-from tributary.llm.components import components
+from tributary.llm.components import components, forest
 
 FAN = 16
 #: Pairs of fingerprint and node that are held at once.
@@ -196,26 +196,6 @@ class GrayIndex:
         return who[near], nodes[near], far[near]
 
 
-def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The least place reachable from each of n places."""
-    parent = np.arange(n)
-    for a, b in links:
-        while True:
-            ra, rb = parent[a], parent[b]
-            open_ = ra != rb
-            if not open_.any():
-                break
-            a, b = a[open_], b[open_]
-            low, high = np.minimum(ra[open_], rb[open_]), np.maximum(ra[open_], rb[open_])
-            np.minimum.at(parent, high, low)
-            while True:
-                up = parent[parent]
-                if (up == parent).all():
-                    break
-                parent = up
-    return parent
-
-
 def block_routes(codes: np.ndarray, most: int) -> np.ndarray:
     """(n, most + 1) groups of 64-bit codes, one for each of most + 1 blocks of bits: codes within ``most`` differences meet in one."""
     edges = [round(64 * i / (most + 1)) for i in range(most + 2)]
@@ -403,8 +383,8 @@ def _group_pairs(neighbours: bool):
     """Rows (grp, at, n, place, side, root, code0 to code3), whole groups in a row, to pairs (x, y), x > y, that may be similar.
 
     With ``neighbours``, each row gives its neighbour in Gray order and its
-    group's least row only; else the index gives all pairs of different roots
-    and sides.
+    group's least row. Else the pairs are of roots: the index finds all pairs
+    of different roots and sides, and a spanning part of them goes on.
     """
 
     def solve(grp, at, n, place, side, root, *codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -413,9 +393,16 @@ def _group_pairs(neighbours: bool):
         grp, at, n, place, side, root, codes = (c[order] for c in (grp, at, n.astype(np.int64), place.astype(np.int64), side, root, codes))
         starts = np.flatnonzero(np.r_[True, grp[1:] != grp[:-1]])
         if not neighbours:
-            for a, b in GrayIndex(codes, starts, (root, side)).links(SET_MOST):
-                fit = _may_be_similar(a, b, at, n, place)
-                yield at[a[fit]], at[b[fit]]
+            names, node = np.unique(root, return_inverse=True)
+
+            def links() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for a, b in GrayIndex(codes, starts, (root, side)).links(SET_MOST):
+                    fit = _may_be_similar(a, b, at, n, place)
+                    yield node[a[fit]], node[b[fit]]
+
+            least = forest(len(names), links())
+            moved = np.flatnonzero(least != np.arange(len(names)))
+            yield names[moved], names[least[moved]]
             return
         group = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(grp)]))
         least = np.lexsort((at, grp))[starts][group]
@@ -470,7 +457,7 @@ def _grouped(rows: DataFrame, sets: DataFrame, neighbours: bool) -> DataFrame:
 def first_pairs(met: DataFrame, sets: DataFrame, fragment: int) -> DataFrame:
     """For each set the one it meets most often, among its neighbours in Gray order and the least of its groups.
 
-    Groups beyond ``fragment`` rows are dealt out; what parts miss of each other is left to remaining_pairs().
+    Groups beyond ``fragment`` rows are dealt out; what parts miss of each other is left to candidate_roots().
     """
     large = met.groupBy("token").count().filter(F.col("count") > fragment).select("token", F.ceil(F.col("count") / fragment).cast("int").alias("of"))
     dealt = join_small(met, materialise(large, "large"), "token", "left")
@@ -481,50 +468,63 @@ def first_pairs(met: DataFrame, sets: DataFrame, fragment: int) -> DataFrame:
     return pairs.groupBy("x").agg(F.max(F.struct("times", (-F.col("y")).alias("y"))).alias("best")).select("x", (-F.col("best.y")).alias("y"))
 
 
-def remaining_pairs(met: DataFrame, sets: DataFrame, roots: DataFrame, fragment: int) -> DataFrame:
-    """All pairs of different roots that may be similar; ``roots`` (at, root) are those of sets already joined.
+def deal(rows: DataFrame, key: str, weight: str, most: int) -> DataFrame:
+    """Rows (key, root, at, weight, ...) to cells in which all rows of a key meet but those of one root: adds grp and side.
 
-    Groups of one root are done. In others, roots with more than ``fragment``
-    rows are dealt out to fragments of their own, the rest of a large group to
-    common ones, and each two fragments that aren't of one root meet.
+    Keys of one root are left out. A key beyond ``most`` weight is cut into
+    fragments: a root beyond ``most`` gets its own, other rows share some. Each
+    two fragments that aren't of one root make a cell with two sides; a
+    fragment by itself has side -1.
     """
-    rooted = materialise(join_small(met, roots, "at", "left").withColumn("root", F.coalesce("root", "at")), "rooted")
-    sizes = rooted.groupBy("token", "root").count().groupBy("token").agg(
-        F.count(F.lit(1)).alias("roots"), F.sum("count").alias("rows"), F.sum(F.when(F.col("count") <= fragment, F.col("count")).otherwise(0)).alias("light"),
-        F.collect_list(F.when(F.col("count") > fragment, F.struct("root", F.ceil(F.col("count") / fragment).cast("int").alias("of")))).alias("heavy"),
+    sizes = rows.groupBy(key, "root").agg(F.sum(weight).alias("size")).groupBy(key).agg(
+        F.count(F.lit(1)).alias("roots"), F.sum("size").alias("size"), F.sum(F.when(F.col("size") <= most, F.col("size")).otherwise(0)).alias("light"),
+        F.collect_list(F.when(F.col("size") > most, F.struct("root", F.ceil(F.col("size") / most).cast("int").alias("of")))).alias("heavy"),
     )
-    shared = materialise(sizes.filter("roots > 1").drop("roots"), "shared")
-    some = join_small(rooted, shared.filter(F.col("rows") <= fragment).select("token"), "token", "left_semi")
-    small = some.select(F.col("token").alias("grp"), "at", "n", "place", F.lit(-1).cast("long").alias("side"), "root")
-    # fragments of a large group: first those of the light rows, then those of each heavy root; label: the root, or -1
-    light = F.ceil(F.col("light") / fragment).cast("int")
+    shared = materialise(sizes.filter("roots > 1"), "shared")
+    others = [c for c in rows.columns if c not in (key, "root")]
+    small = join_small(rows, shared.filter(F.col("size") <= most).select(key), key, "left_semi")
+    small = small.select(F.col(key).alias("grp"), F.lit(-1).cast("long").alias("side"), "root", *others)
+    light = F.ceil(F.col("light") / most).cast("int")
+    # the root of each fragment, -1 for the shared ones, which come first
     labels = F.flatten(F.concat(F.array(F.array_repeat(F.lit(-1).cast("long"), light)), F.transform("heavy", lambda h: F.array_repeat(h["root"], h["of"]))))
-    large = shared.filter(F.col("rows") > fragment).select("token", light.alias("light_of"), labels.alias("labels"))
-    dealt = join_small(rooted, materialise(large, "large"), "token")
-    mine = F.array_position("labels", F.col("root")).cast("int")  # from 1; 0 for light rows
-    of = F.when(mine == 0, F.col("light_of")).otherwise(F.size(F.filter("labels", lambda x: x == F.col("root"))))
-    dealt = dealt.withColumn("own", (F.when(mine == 0, 0).otherwise(mine - 1) + F.pmod(F.xxhash64("at"), of)).cast("int"))
+    large = materialise(shared.filter(F.col("size") > most).select(key, light.alias("light_of"), labels.alias("labels")), "large")
+    dealt = join_small(rows, large, key)
+    first = F.array_position("labels", F.col("root")).cast("int")  # from 1; 0 for rows of shared fragments
+    of = F.when(first == 0, F.col("light_of")).otherwise(F.size(F.filter("labels", lambda x: x == F.col("root"))))
+    dealt = dealt.withColumn("own", (F.greatest(first - 1, F.lit(0)) + F.pmod(F.xxhash64("at"), of)).cast("int"))
     meets = F.filter(F.sequence(F.lit(0), F.size("labels") - 1), lambda i: (F.get("labels", i) == -1) | (F.get("labels", i) != F.get("labels", F.col("own"))))
-    dealt = dealt.select("token", "at", "n", "place", "root", "own", F.explode(meets).alias("other"))
+    dealt = dealt.select(key, "root", "own", *others, F.explode(meets).alias("other"))
     pair = F.struct(F.least("own", "other"), F.greatest("own", "other"))
-    side = F.when(F.col("own") == F.col("other"), -1).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).cast("long")
-    split = dealt.select(F.xxhash64("token", pair).alias("grp"), "at", "n", "place", side.alias("side"), "root")
-    return _grouped(small.unionByName(split), sets, False).select("x", "y")
+    side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).cast("long")
+    return small.unionByName(dealt.select(F.xxhash64(key, pair).alias("grp"), side.alias("side"), "root", *others))
+
+
+def candidate_roots(met: DataFrame, sets: DataFrame, roots: DataFrame, fragment: int) -> DataFrame:
+    """Pairs of roots (x, y) that connect all roots with sets that may be similar; ``roots`` (at, root) are those of sets already joined."""
+    rooted = join_small(met, roots, "at", "left").withColumn("root", F.coalesce("root", "at")).withColumn("one", F.lit(1).cast("long"))
+    return _grouped(deal(materialise(rooted, "rooted"), "token", "one", fragment).drop("one"), sets, False).select("x", "y")
 
 
 def similar_links(texts: DataFrame, sets: DataFrame, fragment: int = FRAGMENT) -> DataFrame:
     """(x, y) for each of the distinct sets that links to another, y the least ``at`` that x reaches.
 
-    First each set is compared with its likeliest partner. Then all pairs that
-    these links have not joined are.
+    First each set is compared with its likeliest partner. Roots that may still
+    have similar sets are brought together in clusters, whose sets are compared
+    whole, all of one root with those of the others.
     """
     met = meetings(sets)
-    tried = materialise(first_pairs(met, sets, fragment), "tried")
-    first = materialise(jaccard.verified(texts, tried), "first")
+    first = materialise(jaccard.verified(texts, first_pairs(met, sets, fragment)), "first")
     joined = components(first)
-    pairs = remaining_pairs(met, sets, joined.select(F.col("x").alias("at"), F.col("y").alias("root")), fragment)
-    pairs = materialise(pairs.join(tried, ["x", "y"], "left_anti"), "pairs")
-    return joined if pairs.isEmpty() else components(first.unionByName(jaccard.verified(texts, pairs)))
+    roots = joined.select(F.col("x").alias("at"), F.col("y").alias("root"))
+    pairs = materialise(candidate_roots(met, sets, roots, fragment), "pairs")
+    if pairs.isEmpty():
+        return joined
+    linked = components(pairs)
+    linked = materialise(linked.unionByName(linked.select(F.col("y").alias("x"), "y").distinct()).select(F.col("x").alias("root"), F.col("y").alias("cluster")), "clusters")
+    rooted = sets.select("at", "n").join(roots, "at", "left").withColumn("root", F.coalesce("root", "at")).join(linked, "root")
+    weighed = materialise(rooted.select("cluster", "root", "at", (F.col("n") + jaccard.LEAST_WEIGHT).cast("long").alias("weight")), "weighed")
+    found = jaccard.compare_cells(texts, deal(weighed, "cluster", "weight", jaccard.CELL).drop("weight"))
+    return components(first.unionByName(found))
 
 
 def distinct_documents(docs: DataFrame, fragment: int = FRAGMENT) -> DataFrame:
