@@ -96,23 +96,69 @@ def brute_targets(sizes, weights=(1, 2, 3), most=3):
         capped |= set(over)
 
 
-def test_mixing(spark, odd):
-    rows = mixing.mix(odd.select("doc_id", "text", "source")).collect()
+def brute_taken(rows, part):
+    """Words taken of each row (doc_id, size, source) by a plain weighted fair queue of packets."""
+    import hashlib
+
     sizes = {}
-    for _, t, _, s in ODD:
-        sizes[s] = sizes.get(s, 0) + len(WORD.findall(t or ""))
-    goal = brute_targets(sizes)
-    assert len(rows) == len(ODD)
+    for _, n, s in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    goal, ranks = brute_targets(sizes), {s: i for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    queue = []
     for s in sizes:
-        mine = [r for r in rows if r.source == s]
-        assert all(r.target == pytest.approx(goal[s]) and r.source_size == sizes[s] for r in mine)
-        assert sum(r.taken for r in mine) == int(goal[s])
-        assert all(0 <= r.taken <= 3 * r.size for r in mine)
-    again = mixing.mix(odd.repartition(2).select("doc_id", "text", "source")).collect()
-    key = lambda r: (str(r.doc_id), r.size, r.taken)
-    assert sorted(map(key, rows)) == sorted(map(key, again))
-    plan = mixing.schedule(mixing.mix(odd.select("doc_id", "text", "source"))).collect()
-    assert [r.virtual_finish for r in plan] == sorted(r.virtual_finish for r in plan) and sum(r.words for r in plan) == sum(r.taken for r in rows)
+        before = 0
+        mine = [(hashlib.md5(("" if d is None else str(d)).encode()).hexdigest()[:16], d is not None, d or 0, n, at) for at, (d, n, x) in enumerate(rows) if x == s]
+        for e in range(3):
+            for k, known, d, n, at in sorted(mine):
+                step = part if before + n > goal[s] else max(n, 1)
+                for f in range(0, n, step):
+                    length = min(step, n - f)
+                    queue.append(((before + f + length) / goal[s], ranks[s], e, k, known, d, n, f, length, at))
+                before += n
+    left, taken = sum(sizes.values()), [0] * len(rows)
+    for *_, length, at in sorted(queue):
+        taken[at] += min(length, left)
+        left -= min(length, left)
+    return taken
+
+
+def test_mixing(spark, odd, empty):
+    rng = np.random.default_rng(2)
+    extra = [(100 + i, " ".join(["w"] * int(n)), "en", f"s{i % 5}") for i, n in enumerate(rng.integers(0, 300, 120))]
+    for docs, rows in ((odd, ODD), (documents(spark, extra).repartition(3), extra)):
+        got = mixing.mix(docs)
+        assert got.columns == ["doc_id", "source", "size", "source_size", "target", "taken"]
+        got = got.collect()
+        plain = [(d, len(WORD.findall(t or "")), s) for d, t, _, s in rows]
+        sizes = {}
+        for _, n, s in plain:
+            sizes[s] = sizes.get(s, 0) + n
+        goal = brute_targets(sizes)
+        key = lambda r: (str(r[0]), str(r[1]), *r[2:])
+        want = [(d, s, n, sizes[s], pytest.approx(goal[s]), k) for (d, n, s), k in zip(plain, brute_taken(plain, mixing.PART), strict=True)]
+        assert sorted(map(key, map(tuple, got)), key=lambda r: (r[0], r[-1])) == sorted(map(key, want), key=lambda r: (r[0], r[-1]))
+        for s in sizes:
+            assert abs(sum(r.taken for r in got if r.source == s) - goal[s]) <= mixing.PART
+        assert sum(r.taken for r in got) == sum(sizes.values()) and all(0 <= r.taken <= 3 * r.size for r in got)
+    assert mixing.mix(empty).count() == 0
+
+
+def test_mixed_documents_keep_schedule_order_and_texts(spark, odd):
+    rows = [(i, " ".join([f"w{i}"] * (20 + i % 7)), "en", "abc"[i % 3]) for i in range(90)]
+    docs = documents(spark, rows)
+    out = mixing.mixed_documents(docs).collect()
+    assert mixing.mixed_documents(odd).columns == odd.columns
+    sizes = {r[0]: 20 + r[0] % 7 for r in rows}
+    total = {s: sum(n for i, n in sizes.items() if "abc"[i % 3] == s) for s in "abc"}
+    goal = brute_targets(total)
+    taken = dict.fromkeys("abc", 0)
+    for r in out:
+        assert r.text == rows[r.doc_id][1]
+        taken[r.source] += sizes[r.doc_id]
+        # at any point of the schedule, sources are served in proportion
+        time = [taken[s] / goal[s] for s in "abc"]
+        assert max(time) - min(time) <= 2 * 26 / min(goal.values())
+    assert all(abs(taken[s] - goal[s]) <= 26 for s in "abc")
 
 
 @given(st.dictionaries(st.text("abc", min_size=1, max_size=2), st.integers(0, 1000), min_size=1, max_size=8))

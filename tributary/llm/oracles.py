@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from tributary.llm import quality
+from tributary.llm import mixing, quality
 
 _SIZE = r"CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT)"
 
 OP2 = rf"""
-WITH sized AS (SELECT doc_id, source, {_SIZE} AS size FROM documents),
+WITH sized AS (SELECT row_number() OVER () AS row_id, doc_id, source, {_SIZE} AS size FROM documents),
 src AS (SELECT source, CAST(sum(size) AS HUGEINT) AS source_size FROM sized GROUP BY source),
 ranked AS (
   SELECT *, 3 * source_size AS cap, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight,
@@ -19,18 +19,21 @@ capped AS (SELECT *, left_over * weight >= cap * weights AS is_capped FROM level
 share AS (
   SELECT *, total - coalesce(sum(CASE WHEN is_capped THEN cap END) OVER (), 0) AS free, sum(CASE WHEN NOT is_capped THEN weight END) OVER () AS open_weights FROM capped),
 goal AS (
-  SELECT source, source_size, CASE WHEN is_capped THEN CAST(cap AS DOUBLE) ELSE CAST(weight * free AS DOUBLE) / CAST(open_weights AS DOUBLE) END AS target FROM share),
+  SELECT source, source_rank, source_size, CASE WHEN is_capped THEN CAST(cap AS DOUBLE) ELSE CAST(weight * free AS DOUBLE) / CAST(open_weights AS DOUBLE) END AS target FROM share),
 queue AS (
-  SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+  SELECT row_id, doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, source_rank, substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS k,
          CAST(coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16), doc_id NULLS FIRST, size
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
-  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, size, source_size, target,
-       CAST(greatest(0, least(size, CAST(floor(target) AS BIGINT) - before))
-          + greatest(0, least(size, CAST(floor(target) AS BIGINT) - before - source_size))
-          + greatest(0, least(size, CAST(floor(target) AS BIGINT) - before - 2 * source_size)) AS BIGINT) AS taken,
-       CASE WHEN target = 0 THEN NULL ELSE CAST(before + size AS DOUBLE) / target END AS virtual_finish
-FROM queue
+  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source),
+copies AS (SELECT *, e * source_size + before AS start FROM queue, range(0, 3) r(e) WHERE size > 0 AND e * source_size + before < target),
+packets AS (
+  SELECT row_id, doc_id, size, source_rank, k, e, target, start, f, CASE WHEN start + size > target THEN least({mixing.PART}, size - f) ELSE size END AS length
+  FROM copies, LATERAL (SELECT unnest(range(0, CASE WHEN start + size > target THEN size ELSE 1 END, {mixing.PART})) AS f)),
+sent AS (
+  SELECT row_id, length, coalesce(sum(length) OVER (ORDER BY CAST(start + f + length AS DOUBLE) / target, source_rank, e, k, doc_id NULLS FIRST, size, f
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM packets),
+cut AS (SELECT row_id, sum(greatest(0, least(length, (SELECT sum(size) FROM sized) - place))) AS taken FROM sent GROUP BY row_id)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken FROM queue LEFT JOIN cut USING (row_id)
 """
 
 OP1 = """

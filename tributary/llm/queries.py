@@ -19,11 +19,10 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tributary.llm import common, mixing
+    from tributary.llm import mixing
 
-    docs = _table(spark, sf_dir, "documents")
-    sized = common.materialise(docs.select("doc_id", "source", common.n_words("text").alias("size")), "sizes")
-    return mixing.mix(sized).orderBy("virtual_finish", "doc_id").select("doc_id", "size", "source_size", "target", "taken", "virtual_finish")
+    mixed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm import common, langid, mixing, packing, quality, simhash
+from tributary.llm import langid, mixing, packing, quality, simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -36,8 +36,7 @@ def mix_to_targets(docs: DataFrame) -> DataFrame:
 
     Documents are taken whole, so that texts stay as they are.
     """
-    rows = docs.select("doc_id", "source", common.n_words("text").alias("size"), F.struct("*").alias("row"))
-    return mixing.schedule(mixing.mix(rows, whole_documents=True)).select("row.*")
+    return mixing.mixed_documents(docs)
 
 
 def pack_sequences(docs: DataFrame) -> DataFrame:
