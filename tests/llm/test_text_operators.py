@@ -304,6 +304,33 @@ def test_language_edges(spark, odd, empty):
     assert {r.language.lang_pred for r in langid.identify(odd, None).collect()} == {"und"}
 
 
+@given(st.text(alphabet="aé ß,7\n日", max_size=40), st.integers(1, 4))
+@settings(max_examples=60, deadline=None)
+def test_subwords_match_plain_code(text, order):
+    raw = b" " + text.encode() + b" "
+    folded = [b if b >= 128 or chr(b).isalpha() else 32 for b in raw]
+    want = []
+    for i in range(len(folded) - order + 1):
+        run, h = folded[i : i + order], order * 0x01000193
+        # a letter at either end, and no edge inside
+        if run[0] == run[-1] == 32 or 32 in run[1:-1]:
+            continue
+        for b, m in zip(run, langid._MULTIPLY, strict=False):
+            h = (h ^ b) * m % 2**32
+        want.append(1 + (h ^ h >> 15) % 1023)
+    got = langid._hashes(np.array(folded, np.uint8), order, 1024)
+    assert got[got > 0].tolist() == want
+    at, share = langid.histogram(text.encode(), 1024)
+    pieces = [x for p in langid.subwords(text.encode(), 1024) for x in p.tolist()]
+    assert at.tolist() == sorted(set(pieces)) and share.tolist() == pytest.approx([pieces.count(x) / len(pieces) for x in at.tolist()])
+
+
+def test_repeated_rows_train_once(spark):
+    rows = [(None, "der eine schung", "de", "s")] * 500 + [(i, f"the tion {i}", "en", "s") for i in range(50)]
+    model = langid.train(documents(spark, rows), F.lit(True))
+    assert model.languages == ["de", "en"]
+
+
 def test_joined_texts_score_like_single_ones(spark):
     model = langid.train(make_labelled(spark), F.lit(True))
     texts = [b"the shing", b"", b"x", "eau é que".encode(), b"sch ung " * 300_000]
@@ -314,7 +341,7 @@ def test_joined_texts_score_like_single_ones(spark):
 @pytest.mark.parametrize("languages", [["en"], ["de", "en"], ["de", "en", "fr"]])
 def test_other_languages_are_rejected(spark, languages):
     model = langid.train(make_labelled(spark), F.col("lang").isin(languages))
-    other = ["这是一篇用另一种语言写的文章，内容很长。", "зто другой язык и слова другие", "qxzzq kkvkx vvjjq zzkqx jjxkv qkvxz zxzxk"]
+    other = ["9f8e a7c3 f00d bd21 c0ffee e4b9 77ab fdd2 0cbe ee3f", "这是一篇用另一种语言写的文章，内容很长。", "зто другой язык и слова другие", "qxzzq kkvkx vvjjq zzkqx jjxkv qkvxz zxzxk"]
     rows = langid.identify(documents(spark, [(i, t, None, "s") for i, t in enumerate(other)]), model).collect()
     assert [r.language.rejected for r in rows] == [True] * len(other)
     own = langid.identify(make_labelled(spark).filter(F.col("lang").isin(languages)), model).collect()
@@ -634,6 +661,11 @@ def test_components(spark, links):
 # --- stages ---------------------------------------------------------------------------------------
 
 
+def test_language_stage_without_labels_is_an_error(spark, odd):
+    with pytest.raises(ValueError, match="no document"):
+        stages.identify_language(odd.withColumn("lang", F.lit(None).cast("string")))
+
+
 def test_stages_handle_odd_and_empty_tables(spark, odd, empty):
     for docs in (odd, empty):
         for stage in (stages.identify_language, stages.apply_quality, stages.drop_near_copies, stages.mix_to_targets):

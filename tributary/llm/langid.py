@@ -4,7 +4,7 @@ A text's subwords are the runs of 1 to 4 bytes inside its lower-cased words,
 with the word's edges. Each is hashed to a row of an embedding table; the
 text's vector is their mean, and a linear layer with softmax gives language
 probabilities. Both are trained in numpy by stochastic gradient descent on a
-bounded sample of labelled rows, a part of which calibrates the scores'
+bounded sample of labelled rows, and a second sample calibrates the scores'
 temperature and two limits under which an answer is rejected: its score, and
 how common its subwords are in the training texts, which tells texts of other
 languages even where one language's score must be high, as with one or two.
@@ -26,15 +26,19 @@ from tributary.llm.common import groups_of, small_batches, text_bytes
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 DIMENSIONS = 16
-#: Expected number of training rows of each language (all, if fewer).
+#: Expected number of training rows of each language (four fifths, if fewer), and of other rows that calibrate the limits.
 SAMPLE_PER_LANGUAGE = 800
+CALIBRATED_PER_LANGUAGE = 4_000
+#: Expected number of training rows of all languages, and of other rows that calibrate, where there are many languages.
+SAMPLE = 20_000
+CALIBRATED = 200_000
 #: Languages that a model may have; more labels are an error.
 MOST_LANGUAGES = 1_000
 EPOCHS = 6
 BATCH = 32
 RATE = 0.5
 #: Share of right answers on the calibration rows that each limit of rejection may cost.
-MOST_REJECTED = 0.001
+MOST_REJECTED = 0.0005
 #: Share that a subword without training texts counts with.
 UNSEEN = 2.0**-20
 ORDERS = (1, 2, 3, 4)
@@ -130,12 +134,9 @@ class Model:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str], seed: int = 7) -> Model:
-    """Train on histograms (buckets, shares, language place); every fifth row calibrates."""
+    """Train on histograms (buckets, shares, language place)."""
     rng = np.random.default_rng(seed)
-    n, k = len(rows), len(languages)
-    order = rng.permutation(n)
-    held = set(order[: n // 5].tolist()) if n >= 5 * k else set()
-    train = np.array([i for i in range(n) if i not in held])
+    k, train = len(languages), np.arange(len(rows))
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     embed[0] = 0
     out, bias = np.zeros((DIMENSIONS, k), np.float32), np.zeros(k, np.float32)
@@ -169,37 +170,47 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], languages: list[str], se
         seen[rows[i][0]] += rows[i][1]
     known = np.log2(seen / max(1.0, seen.sum()) + UNSEEN).astype(np.float32)
     known[0] = 0
-    model = Model(languages, embed @ out, bias, known)
-    calibrate(model, [rows[i] for i in sorted(held)] or rows)
-    return model
+    return Model(languages, embed @ out, bias, known)
+
 
+def calibrate(model: Model, logits: np.ndarray, known: np.ndarray, truth: np.ndarray) -> None:
+    """Choose the temperature of least loss, wrong answers included, and the limits that reject few right answers.
 
-def calibrate(model: Model, rows: list[tuple[np.ndarray, np.ndarray, int]]) -> None:
-    """Choose the temperature of least loss, and the score and commonness of subwords that reject few right answers."""
-    logits = np.array([(model.table[at] * share[:, None]).sum(axis=0) for at, share, _ in rows]).reshape(len(rows), -1) + model.bias
-    truth = np.array([t for _, _, t in rows], np.int64)
+    The limits are the ``MOST_REJECTED`` quantiles of the right answers' scores
+    and of how common their subwords are, each moved out by its standard error,
+    so that a small calibration set rejects less rather than more.
+    """
+    if not len(truth):
+        return
     losses = []
-    for t in (grid := np.geomspace(0.05, 5, 60)):
+    for t in (grid := np.geomspace(0.002, 20, 120)):
         model.temperature = float(t)
         p = model.probabilities(logits)
         losses.append(-np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean())
     model.temperature = float(grid[int(np.argmin(losses))])
     p = model.probabilities(logits)
     right = p.argmax(axis=1) == truth
-    known = np.array([(model.known[at] * share).sum() for at, share, _ in rows])
     if right.any():
-        place = int(MOST_REJECTED * right.sum())
         # rounding differs between ways to sum
-        model.threshold = float(np.sort(p.max(axis=1)[right])[place]) - 1e-6
-        model.least_known = float(np.sort(known[right & (known < 0)])[place]) - 1e-3 if (right & (known < 0)).sum() > place else float("-inf")
+        model.threshold = _limit(p.max(axis=1)[right]) - 1e-6
+        with_words = right & (known < 0)
+        model.least_known = _limit(known[with_words]) - 1e-3 if with_words.any() else float("-inf")
+
+
+def _limit(values: np.ndarray) -> float:
+    """The ``MOST_REJECTED`` quantile, less a deviation of the number of values under it."""
+    expected = MOST_REJECTED * len(values)
+    return float(np.sort(values)[max(0, int(expected - np.sqrt(expected)))])
 
 
 def train(docs: DataFrame, use: Column, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
     """Fit on rows (doc_id, text, lang) where ``use`` holds and lang is not null; None without any.
 
-    The sample is every row whose hash falls under the language's share, so it
-    is the same on each run and about ``sample_per_language`` rows a language;
-    histograms are made by the executors from whole texts.
+    The training sample is every row whose hash, of id and text, falls under the
+    language's share, so it is the same on each run; rows that follow in that
+    order calibrate. Equal rows count once. Histograms are made from whole texts
+    by the executors; the driver gets about ``sample_per_language`` of them a
+    language (``SAMPLE`` in all), and a few numbers of each calibration row.
     """
     small_batches(docs.sparkSession)
     usable = docs.filter(use & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -210,19 +221,38 @@ def train(docs: DataFrame, use: Column, sample_per_language: int = SAMPLE_PER_LA
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     sizes = {r["lang"]: r["count"] for r in counts}
     languages = sorted(sizes)
-    shares = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, sample_per_language / sizes[k])))])
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    trained, calibrated = min(sample_per_language, SAMPLE / len(languages)), min(CALIBRATED_PER_LANGUAGE, CALIBRATED / len(languages))
+    share = {k: min(0.8, trained / sizes[k]) if sizes[k] > 4 else 1.0 for k in languages}
+    by_language = lambda f: F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(float(f(k))))])[F.col("lang")]
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     place = {k: i for i, k in enumerate(languages)}
+    drawn = usable.select("lang", F.lower("text").alias("text"), draw.alias("draw")).withColumn("share", by_language(share.get))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             made = [histogram(t) for t in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x, _ in made], pa.binary()), pa.array([y.tobytes() for _, y in made], pa.binary())], names=["lang", "at", "share"])
 
-    drawn = usable.filter(draw < shares[F.col("lang")]).select("lang", F.lower("text"))
-    made = drawn.mapInArrow(run, "lang string, at binary, share binary").toArrow().to_pylist()
+    few = drawn.filter(F.col("draw") < F.col("share")).dropDuplicates(["lang", "draw"]).select("lang", "text")
+    made = few.mapInArrow(histograms, "lang string, at binary, share binary").toArrow().to_pylist()
     rows = sorted((r["lang"], r["at"], r["share"]) for r in made)
-    return fit([(np.frombuffer(a, np.int32), np.frombuffer(s, np.float32), place[k]) for k, a, s in rows], languages)
+    model = fit([(np.frombuffer(a, np.int32), np.frombuffer(s, np.float32), place[k]) for k, a, s in rows], languages)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = shared.value.means(text_bytes(b.column(1)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in got], pa.binary())], names=["lang", "means"])
+
+    rest = drawn.filter((F.col("draw") >= F.col("share")) & (F.col("draw") < F.col("share") + by_language(lambda k: calibrated / sizes[k]))).dropDuplicates(["lang", "draw"])
+    # without rows to spare, those of the training calibrate
+    for rows_ in (rest.select("lang", "text"), few):
+        got = rows_.mapInArrow(means, "lang string, means binary").toArrow().to_pylist()
+        if got:
+            break
+    told = np.array([np.frombuffer(r["means"]) for r in got]).reshape(-1, len(languages) + 1)
+    calibrate(model, told[:, :-1] + model.bias, told[:, -1], np.array([place[r["lang"]] for r in got], np.int64))
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:

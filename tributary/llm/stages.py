@@ -13,10 +13,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def identify_language(docs: DataFrame) -> DataFrame:
     """Documents whose language is told apart with enough confidence; lang becomes the predicted one.
 
-    Learns from all labelled rows of the input. Without labels nothing can be
-    told, so all documents go.
+    Learns from a sample of the labelled rows of the input. Null texts and texts
+    without a letter go; equal rows answer alike; other columns are kept as they
+    are. Documents of which none has a label are an error, since nothing could
+    be told of them; an empty table gives no rows.
     """
     model = langid.train(docs.select("doc_id", "text", "lang"), F.lit(True))
+    if model is None and not docs.isEmpty():
+        raise ValueError("no document has both a text and a language to learn from")
     kept = langid.identify(docs, model).filter(~F.col("language.rejected"))
     return kept.select(*[F.col("language.lang_pred").alias(c) if c == "lang" else F.col(f"row.`{c}`") for c in docs.columns])
 
