@@ -152,6 +152,9 @@ def test_idle_partitions_advance_only_without_open_events(spark, tmp_path, sourc
     c.runtime.acks[1] = Acks()
     c.runtime.acks[1].deliver(0)
     c.runtime.advance_idle()
+    assert c.progress.read(0) == {}  # nothing has been read yet, so nothing may be skipped
+    c.runtime.read_to = (1, 100, 2)
+    c.runtime.advance_idle()
     assert c.progress.read(0)["resume_token"] == 1 and c.progress.read(1) == {}
 
 
@@ -324,3 +327,214 @@ def test_watermark_falls_back_to_the_clock(spark, tmp_path, source):
     c.progress.begin_bootstrap(0, c.runtime.low_watermark())
     c.progress.finish_bootstrap(0)
     assert c.progress.start(0) == ("start_at_time", [500, 1])
+
+
+def connect(spark, tmp_path, source, store, listener, cfg=None, **kwargs):
+    c = Connector(spark, cfg or config(), listener, source, f"{tmp_path}/state", store, document="doc", me="w", **kwargs)
+    c.runtime.sleep = c.group.sleep = lambda s: None
+    return c
+
+
+class Flaky(Collect):
+    """A batch listener whose call number ``fails`` fails."""
+
+    def __init__(self, fails):
+        super().__init__(True)
+        self.fails, self.calls = fails, 0
+
+    def __call__(self, what, *_):
+        self.calls += 1
+        if self.calls == self.fails:
+            raise RuntimeError("no")
+        super().__call__(what)
+
+
+def test_failed_snapshot_slices_are_not_skipped(spark, tmp_path, source):
+    listener = Flaky(2)
+    connect(spark, tmp_path, source, MemoryControlStore(), listener, on_error="skip").start(available_now=True)
+    assert {int(r[0]) for r in listener.rows} == set(range(20)) and listener.calls > 3
+
+
+def test_failed_batches_stay_open_when_errors_are_skipped(spark, tmp_path, source):
+    store = MemoryControlStore()
+    connect(spark, tmp_path, source, store, Collect(True)).start(available_now=True)
+    events(spark, source.log, [(2, "3", "replace", "{}", 101, 1)])
+    connect(spark, tmp_path, source, store, Flaky(1), on_error="skip").start(available_now=True)
+    again = Collect(True)
+    connect(spark, tmp_path, source, store, again).start(available_now=True)
+    assert [r[3] for r in again.rows] == [2]
+
+
+def test_idle_looks_skip_nothing_unread(spark, tmp_path, source):
+    store = MemoryControlStore()
+    connect(spark, tmp_path, source, store, Collect(True)).start(available_now=True)
+    events(spark, source.log, [(9, "3", "replace", "{}", 101, 1)])
+    c = connect(spark, tmp_path, source, store, Collect(True))
+    c.runtime.active = set(range(4))
+    c.runtime.advance_idle()
+    again = Collect(True)
+    connect(spark, tmp_path, source, store, again).start(available_now=True)
+    assert [r[3] for r in again.rows] == [9]
+
+
+def test_idle_partitions_move_to_what_was_read(spark, tmp_path, source):
+    store, cfg = MemoryControlStore(), config(total=2)
+    connect(spark, tmp_path, source, store, Collect(True), cfg).start(available_now=True)
+    events(spark, source.log, [(n, "3", "drop" if n > 5 else "replace", "{}", 101, n) for n in range(2, 9)])
+    c = connect(spark, tmp_path, source, store, Collect(True), cfg)
+    c.start(available_now=True)
+    c.runtime.advance_idle()
+    assert c.runtime.read_to == (8, 101, 8) and {c.progress.read(p)["resume_token"] for p in (0, 1)} == {8}
+
+
+def test_old_time_starts_lose_history(spark, tmp_path, source):
+    store, cfg, listener = MemoryControlStore(), config(total=1), Collect(True)
+    c = connect(spark, tmp_path, source, store, listener, cfg)
+    c.progress.write(0, last_cluster_time=[10, 1])
+    c.start(available_now=True)
+    assert c.metrics.counters["resume_token_expired_total"] == 1 and sum(r[2] for r in listener.rows) == 20
+    kept = Collect(True)
+    c = connect(spark, tmp_path, source, MemoryControlStore(), kept, cfg)
+    c.progress.write(0, last_cluster_time=[100, 2])
+    c.start(available_now=True)
+    assert c.metrics.counters["resume_token_expired_total"] == 0 and [r[3] for r in kept.rows] == [1]
+
+
+@pytest.mark.parametrize("batch", [False, True])
+def test_manual_mode_saves_on_commit_only(spark, tmp_path, source, batch):
+    store, cfg = MemoryControlStore(), config()
+    connect(spark, tmp_path, source, store, Collect(batch), cfg).start(available_now=True)
+    events(spark, source.log, [(2, "3", "replace", "{}", 101, 1)])
+    cfg.checkpoint.type = "manual"
+    tokens = lambda c: {p: c.progress.read(p)["resume_token"] for p in range(4)}
+    for commit in (False, True):
+        listener = Collect(batch)
+        c = connect(spark, tmp_path, source, store, listener, cfg)
+        before = tokens(c)
+        c.start(available_now=True)
+        assert [r[3] for r in listener.rows] == [2] and tokens(c) == before
+        if commit:
+            c.commit()
+    assert 2 in tokens(c).values()
+    last = Collect(batch)
+    connect(spark, tmp_path, source, store, last, cfg).start(available_now=True)
+    assert last.rows == []
+
+
+@pytest.mark.parametrize("batch", [False, True])
+def test_updates_without_a_document_get_the_current_one(spark, tmp_path, source, batch):
+    store, seen = MemoryControlStore(), {}
+
+    def listener(what, *_):
+        for r in what.collect() if batch else [what.message]:
+            seen[r.token] = r.full_document
+        batch or what.ack()
+
+    listener.batch = batch
+    connect(spark, tmp_path, source, store, Collect(batch)).start(available_now=True)
+    events(spark, source.log, [(2, "3", "update", None, 101, 1), (3, "99", "update", None, 101, 2), (4, "5", "update", "kept", 101, 3), (5, "6", "delete", None, 101, 4)])
+    c = connect(spark, tmp_path, source, store, listener)
+    c.start(available_now=True)
+    assert seen == {2: '{"n": 3}', 3: None, 4: "kept", 5: None}
+    assert c.metrics.gauges["listener_latency_seconds"] > 0 and c.metrics.gauges["cdc_latency_seconds"] > 0
+
+
+def test_json_log_and_its_dead_letters(spark, tmp_path, source):
+    from tributary.sources.change_source import JsonChangeSource
+
+    line = lambda n, op: json.dumps({"operation_type": op, "document_key": {"_id": str(n)}, "full_document": "{}", "ns": {"db": "d", "coll": "c"}, "cluster_time": {"t": 100 + n, "i": 1}, "token": n})
+    log, store = tmp_path / "json", MemoryControlStore()
+    log.mkdir()
+    (log / "a.txt").write_text(line(0, "insert") + "\n")
+    source = JsonChangeSource(spark, source.collection, str(log), dead_letters=f"{tmp_path}/dead")
+    assert source.high_watermark() == (0, 100, 1) == source.oldest_available()
+    connect(spark, tmp_path, source, store, Collect(True)).start(available_now=True)
+    (log / "b.txt").write_text("\n".join([line(1, "replace"), "{not json", line(2, "delete")]) + "\n")
+    listener = Collect(True)
+    connect(spark, tmp_path, source, store, listener).start(available_now=True)
+    assert sorted(r[3] for r in listener.rows) == [1, 2]
+    assert [r.value for r in spark.read.parquet(f"{tmp_path}/dead").collect()] == ["{not json"]
+
+
+def test_restart_reads_new_files_only(spark, tmp_path, source):
+    store = MemoryControlStore()
+    connect(spark, tmp_path, source, store, Collect(True)).start(available_now=True)
+    first = connect(spark, tmp_path, source, store, Collect(True))
+    first.start(available_now=True)
+    assert sum(p.numInputRows for p in first.runtime.query.recentProgress) == 0
+    events(spark, source.log, [(n, str(n), "replace", "{}", 101, n) for n in range(2, 7)])
+    listener = Collect(True)
+    c = connect(spark, tmp_path, source, store, listener)
+    c.start(available_now=True)
+    assert sum(p.numInputRows for p in c.runtime.query.recentProgress) == 5 and len(listener.rows) == 5
+    # a partition that went back is read again from a state of its own
+    c.progress.write(0, resume_token=-1)
+    again = Collect(True)
+    c = connect(spark, tmp_path, source, store, again)
+    c.start(available_now=True)
+    assert sum(p.numInputRows for p in c.runtime.query.recentProgress) == 7
+
+
+def test_log_ends_come_from_footers(spark, tmp_path, source):
+    from tributary.sources.change_source import footer_end
+
+    events(spark, source.log, [(7, "1", "insert", "{}", 105, 3)])
+    assert source.high_watermark() == (7, 105, 3) and source.oldest_available() == (0, 100, 1)
+    assert footer_end(spark, source.log, F.max) == 7
+    spark.createDataFrame([], LOG).write.parquet(f"{tmp_path}/none")
+    none = ParquetChangeSource(spark, source.collection, f"{tmp_path}/none")
+    assert none.high_watermark() == (-1, 0, 0) and none.oldest_available() is None
+
+
+def test_stale_locks_are_broken_once(tmp_path):
+    from tributary.sources.control import LockLost
+
+    store = FileControlStore(tmp_path, stale_s=0.3, wait_s=5)
+    (tmp_path / "t.lock").write_text("someone gone")
+    add = lambda: store.update("t", lambda rows: rows.__setitem__("n", {"v": rows.get("n", {"v": 0})["v"] + 1}))
+    threads = [threading.Thread(target=add) for _ in range(8)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert store.read("t") == {"n": {"v": 8}}
+
+    def slow(rows):
+        (tmp_path / "t.lock").write_text("another took it")
+        rows["n"] = {"v": 0}
+
+    with pytest.raises(LockLost):
+        store.update("t", slow)
+    assert store.read("t") == {"n": {"v": 8}}
+    held = FileControlStore(tmp_path, stale_s=60, wait_s=0.2)
+    (tmp_path / "u.lock").write_text("alive")
+    with pytest.raises(TimeoutError):
+        held.update("u", lambda rows: None)
+    assert abs(store.now() - time.time()) < 5
+
+
+def test_worker_off_the_list_registers_again():
+    store, now = MemoryControlStore(), [1000.0]
+    g = Group(store, config().partition, "a", clock=lambda: now[0], sleep=lambda s: None)
+    g.register()
+    store.update(g.workers, lambda rows: rows.clear())
+    assert g.acquire() == [0, 1, 2, 3]
+
+    class Dead(MemoryControlStore):
+        def read(self, table):
+            return {}
+
+    lost = Group(Dead(), config().partition, "a", sleep=lambda s: None)
+    with pytest.raises(RuntimeError, match="not among"):
+        lost.acquire()
+
+
+def test_checkpoint_saves_give_up_in_time():
+    class Broken(MemoryControlStore):
+        def update(self, table, change):
+            raise OSError("away")
+
+    cfg = config()
+    cfg.checkpoint.save_timeout = duration("50ms")
+    p, began = Progress(Broken(), cfg, Metrics()), time.monotonic()
+    with pytest.raises(OSError):
+        p.save_token(0, 1, (1, 1))
+    assert time.monotonic() - began < 0.5 and p.metrics.counters["checkpoint_save_error_total"] == 1

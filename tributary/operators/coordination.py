@@ -78,3 +78,9 @@ def acquire(assignments: DataFrame, wanted: DataFrame, now: Column, cutoff: Colu
     rows = assignments.withColumnRenamed("worker_id", "owner").join(wanted.withColumnRenamed("worker_id", "me"), "partition_id", "full")
     taken = F.col("me").isNotNull() & can_take(F.col("owner"), F.col("last_heartbeat"), F.col("me"), cutoff)
     return rows.select("partition_id", F.when(taken, F.col("me")).otherwise(F.col("owner")).alias("worker_id"), F.when(taken, now).otherwise(F.col("assigned_at")).alias("assigned_at"), F.when(taken, now).otherwise(F.col("last_heartbeat")).alias("last_heartbeat"))
+
+
+def guard_total(starts: DataFrame, order: str) -> DataFrame:
+    """Worker starts (consumer_group, configured, order): the number of partitions a group's first start stored, and whether each agrees."""
+    stored = starts.groupBy("consumer_group").agg(F.min_by("configured", order).alias("stored"))
+    return starts.join(stored, "consumer_group").withColumn("status", F.when(F.col("configured") == F.col("stored"), "ok").otherwise("mismatch"))

@@ -23,6 +23,14 @@ def look_up_updates(log: DataFrame, state: DataFrame) -> DataFrame:
     return updates.join(state.select("doc_id", "document"), "doc_id", "left")
 
 
+def fill_updates(messages: DataFrame, state: DataFrame, small: bool = False) -> DataFrame:
+    """Messages with the current document (document_id, document) in updates that came without one; ``small`` if ``state`` may be broadcast."""
+    bare = (F.col("operation_type") == "update") & F.col("full_document").isNull()
+    found = state.select("document_id", F.col("document").alias("__now"))
+    joined = messages.join(F.broadcast(found) if small else found, "document_id", "left")
+    return joined.withColumn("full_document", F.when(bare, F.col("__now")).otherwise(F.col("full_document"))).select(*messages.columns)
+
+
 def should_bootstrap(token: Column, t: Column, last_id: Column) -> Column:
     """An unfinished snapshot wins over a token; without any progress there is one to take."""
     return last_id.isNotNull() | (token.isNull() & t.isNull())
@@ -46,6 +54,12 @@ def start_at(routed: DataFrame, checkpoints: DataFrame) -> DataFrame:
     return routed.join(F.broadcast(saved), "partition_id").filter(F.struct("t", "i") >= F.col("since")).drop("since")
 
 
+def time_history_lost(checkpoints: DataFrame, t: Column, i: Column) -> DataFrame:
+    """Partitions that start by time, from before the log's first entry, which was at (t, i)."""
+    by_time = F.col("resume_token").isNull() & F.col("t").isNotNull()
+    return checkpoints.filter(by_time & (F.struct(F.col("t"), F.col("i")) < F.struct(t.alias("t"), i.alias("i")))).withColumn("head_t", t).withColumn("head_i", i)
+
+
 def history_lost(checkpoints: DataFrame, head: Column) -> DataFrame:
     """Partitions whose next event is older than the first one that the log retains."""
     return checkpoints.filter(F.col("resume_token").isNotNull() & (head > F.col("resume_token") + 1)).withColumn("head", head)

@@ -165,6 +165,13 @@ def history_lost(spark: SparkSession, d: str) -> DataFrame:
     return feed.history_lost(fx.checkpoints(spark, d), F.lit(head).cast("long")).select("partition_id", "resume_token", "head")
 
 
+@query(f"WITH {CHECKPOINTS}, h AS (SELECT max(t) - 43200 AS head_t FROM log) SELECT partition_id, c.t, c.i, head_t, CAST(1 AS BIGINT) AS head_i FROM checkpoints c, h WHERE resume_token IS NULL AND c.t IS NOT NULL AND (c.t < head_t OR (c.t = head_t AND c.i < 1))")
+def time_history_lost(spark: SparkSession, d: str) -> DataFrame:
+    head = fx.now(spark, d).first()["now"] - 43200
+    lost = feed.time_history_lost(fx.checkpoints(spark, d), F.lit(head).cast("long"), F.lit(1).cast("long"))
+    return lost.select("partition_id", "t", "i", "head_t", "head_i")
+
+
 _IDLE = f"{ROUTED}, last AS (SELECT partition_id, max(t) AS last_event FROM routed GROUP BY 1), clock AS (SELECT max(t) AS now FROM log), idle AS (SELECT partition_id, last_event FROM last, clock WHERE now - last_event > 1800)"
 
 
@@ -308,10 +315,11 @@ def metric_exposition(spark: SparkSession, d: str) -> DataFrame:
     return metrics.exposition(metrics.operation_totals(fx.routed(spark, d)))
 
 
-@query(f"SELECT g AS consumer_group, CAST(n AS INTEGER) AS configured, CAST({PARTITIONS} AS INTEGER) AS stored, CASE WHEN n = {PARTITIONS} THEN 'ok' ELSE 'mismatch' END AS status FROM (VALUES ('a', 15), ('b', 20)) t(g, n)")
+@query(f"WITH {ROUTED}, g AS (SELECT doc_id AS consumer_group, CAST({PARTITIONS} + token % 3 AS INTEGER) AS configured, token FROM routed), f AS (SELECT consumer_group, arg_min(configured, token) AS stored FROM g GROUP BY 1) SELECT token, consumer_group, configured, stored, CASE WHEN configured = stored THEN 'ok' ELSE 'mismatch' END AS status FROM g JOIN f USING (consumer_group)")
 def total_partition_guard(spark: SparkSession, d: str) -> DataFrame:
-    asked = spark.createDataFrame([("a", 15), ("b", 20)], "consumer_group string, configured int")
-    return asked.withColumn("stored", F.lit(PARTITIONS)).withColumn("status", F.when(F.col("configured") == F.col("stored"), "ok").otherwise("mismatch"))
+    starts = fx.routed(spark, d).select(F.col("doc_id").alias("consumer_group"), (F.lit(PARTITIONS) + F.col("token") % 3).cast("int").alias("configured"), "token")
+    return coordination.guard_total(starts, "token")
+
 
 
 _KINDS = ("save_token", "save_progress", "save_time", "clear_token", "clear_progress", "save_token", "save_token")
@@ -336,6 +344,18 @@ def checkpoint_upsert(spark: SparkSession, d: str) -> DataFrame:
     return checkpoints.fold_writes(_writes(spark, d)).drop("updated_seq")
 
 
-@query(f"WITH {_WRITES} SELECT partition_id, max(seq) AS cleared FROM w WHERE k IN (3, 4) GROUP BY 1")
+@query(f"""WITH {_WRITES}, c AS (SELECT partition_id, max(seq) FILTER (k = 3) AS token_clear, max(seq) FILTER (k = 4) AS progress_clear FROM w GROUP BY 1),
+s AS (SELECT w.* FROM w JOIN c USING (partition_id) WHERE seq <= greatest(coalesce(token_clear, -1), coalesce(progress_clear, -1)))
+SELECT partition_id,
+  CASE WHEN max(seq) FILTER (k IN (0, 5)) > coalesce(max(seq) FILTER (k = 3), -1) THEN max(seq) FILTER (k IN (0, 5)) END AS resume_token,
+  CASE WHEN max(seq) FILTER (k IN (0, 2, 6)) > coalesce(max(seq) FILTER (k = 3), -1) THEN arg_max(t, seq) FILTER (k IN (0, 2, 6)) END AS t,
+  CASE WHEN max(seq) FILTER (k IN (0, 2, 6)) > coalesce(max(seq) FILTER (k = 3), -1) THEN arg_max(i, seq) FILTER (k IN (0, 2, 6)) END AS i,
+  CASE WHEN max(seq) FILTER (k = 1) > coalesce(max(seq) FILTER (k = 4), -1) THEN arg_max(bootstrap_last_id, seq) FILTER (k = 1) END AS bootstrap_last_id,
+  max(seq) AS cleared_at FROM s GROUP BY 1""")
 def checkpoint_clear(spark: SparkSession, d: str) -> DataFrame:
-    return checkpoints.normalise_writes(_writes(spark, d)).filter(F.col("kind").startswith("clear")).groupBy("partition_id").agg(F.max("seq").alias("cleared"))
+    """Each partition's row just after its last clear, which clears the fields of its kind and keeps the others."""
+    writes = _writes(spark, d)
+    last = writes.filter(F.col("kind").startswith("clear")).groupBy("partition_id").agg(F.max("seq").alias("cleared_at"))
+    until = writes.join(last, "partition_id").filter("seq <= cleared_at")
+    rows = checkpoints.fold_writes(until.drop("cleared_at")).join(last, "partition_id")
+    return rows.select("partition_id", "resume_token", "t", "i", "bootstrap_last_id", "cleared_at")

@@ -48,13 +48,13 @@ class Backoff:
         return self.tries >= self.policy.retries
 
 
-def retry(work: Callable[[], R], policy: Policy = DEFAULT, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random) -> R:
-    """Call until it works; the last error is raised once retries are used up."""
-    backoff = Backoff(policy, jitter)
+def retry(work: Callable[[], R], policy: Policy = DEFAULT, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random, within_s: float | None = None) -> R:
+    """Call until it works; the last error is raised once retries, or ``within_s`` seconds, are used up."""
+    backoff, began = Backoff(policy, jitter), time.monotonic()
     while True:
         try:
             return work()
         except Exception:
-            if backoff.exhausted:
+            if backoff.exhausted or (within_s is not None and time.monotonic() - began >= within_s):
                 raise
             sleep(backoff.next())

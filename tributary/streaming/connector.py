@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-from tributary.functions.names import worker_id
+from tributary.functions.names import control_table, worker_id
 from tributary.sources import config as configs
 from tributary.sources.change_source import ChangeSource
 from tributary.sources.config import Config
@@ -72,6 +72,7 @@ class Connector:
         self.group.record(owned)
         if available_now:
             self.runtime.follow(owned, self._state, True, tries=3)
+            self._settle(",".join(map(str, sorted(owned))))
             return
         self.group.run(self._reconcile)
         while not self._closed.is_set():
@@ -79,14 +80,43 @@ class Connector:
             owned = list(self.group.owned)
             if owned:
                 self.runtime.follow(owned, self._state)
+                self._settle(",".join(map(str, sorted(owned))))
             if not self._closed.is_set():
                 self._changed.wait(1)
                 if self.runtime.stopping.is_set():
                     self.runtime = self._runtime()
 
+    @property
+    def _states(self) -> str:
+        return control_table(f"{self.cfg.connection.collection}_streams", self.cfg.partition.consumer_group)
+
+    def _tokens(self) -> dict[str, int | None]:
+        starts = {p: self.progress.start(p) for p in self.group.owned}
+        return {str(p): at if how == "resume_token" else None for p, (how, at) in starts.items()}
+
     def _state(self) -> str:
-        # tokens, not Spark's offsets, say where a stream starts: each start has a state of its own
-        return f"{self.folder}/streams/{self.me}/{uuid.uuid4().hex}"
+        """The folder of Spark's stream state for the owned partitions.
+
+        Tokens, not Spark's offsets, say where a stream starts. The state of the
+        last stream over the same partitions, which knows the files that are
+        done, is taken again if that stream had saved all it delivered, and no
+        partition has gone back since; else a new one is begun.
+        """
+        name, tokens = ",".join(map(str, sorted(self.group.owned))), self._tokens()
+        last = self.store.read(self._states).get(name)
+        again = last and last["settled"] and all(t is not None and t >= last["tokens"][p] for p, t in tokens.items())
+        path = last["path"] if again else f"{self.folder}/streams/{uuid.uuid4().hex}"
+        self.store.update(self._states, lambda rows: rows.__setitem__(name, {"path": path, "settled": False, "tokens": {}}))
+        if last and not again:
+            folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(last["path"])
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        return path
+
+    def _settle(self, name: str) -> None:
+        """Let the next stream over the same partitions go on from this one's state."""
+        tokens = {p: t for p, t in self._tokens().items() if t is not None}
+        if self.runtime.settled and ",".join(sorted(tokens, key=int)) == name:
+            self.store.update(self._states, lambda rows: rows.get(name, {}).update(settled=True, tokens=tokens))
 
     def _begin(self, partitions: list[int]) -> None:
         for p in partitions:

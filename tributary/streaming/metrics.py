@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import http.server
+import platform
 import threading
 import time
 from collections import defaultdict
 
+import pyspark
+
 VERSION = "0.1.0"
 COUNTERS = (
     "insert_total", "update_total", "delete_total", "replace_total", "checkpoint_save_total", "checkpoint_save_error_total", "bootstrap_document_total",
@@ -56,7 +59,7 @@ class Metrics:
     def exposition(self) -> str:
         lines = [line for n, t, v in self.collect() for line in (f"# TYPE {n} {t}", f"{n} {v:g}")]
         info = f"{PREFIX}_build_info"
-        return "\n".join([*lines, f"# TYPE {info} gauge", f'{info}{{version="{VERSION}"}} 1', ""])
+        return "\n".join([*lines, f"# TYPE {info} gauge", f'{info}{{version="{VERSION}",runtime="python {platform.python_version()}, spark {pyspark.__version__}"}} 1', ""])
 
 
 class MetricServer:

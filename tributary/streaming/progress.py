@@ -63,7 +63,7 @@ class Progress:
 
         began = self.clock()
         try:
-            retry(lambda: self.store.update(self.table, change), FAST)
+            retry(lambda: self.store.update(self.table, change), FAST, within_s=self.cfg.checkpoint.save_timeout.total_seconds())
         except Exception:
             self.metrics.add("checkpoint_save_error_total")
             raise
