@@ -16,13 +16,13 @@ SF = "/root/testdata/sf0.001"
 
 def brute(vectors, k, step):
     out = []
-    rows = {i: [math.floor(256 * float(x)) for x in v] for i, v in vectors}
-    for q in sorted(rows):
+    rows = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in vectors]
+    for at, (q, u) in enumerate(rows):
         if q % step:
             continue
-        scored = sorted((-sum(a * b for a, b in zip(rows[q], v, strict=False)), c) for c, v in rows.items() if c != q)
+        scored = sorted((-sum(a * b for a, b in zip(u, v, strict=False)), c) for n, (c, v) in enumerate(rows) if n != at)
         out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(scored[:k])]
-    return out
+    return sorted(out)
 
 
 @pytest.mark.parametrize("strip,block", [(1024, 16_384), (16, 50)])
@@ -34,6 +34,7 @@ def test_top_k_matches_brute_force(spark, monkeypatch, strip, block):
     rng = np.random.default_rng(1)
     vectors = [(i, (rng.normal(0, 0.1, 12) * (1 + (i % 17 == 0) * 3)).astype(np.float32).tolist()) for i in range(400)]
     vectors += [(400 + i, vectors[i][1]) for i in range(20)]  # ties
+    vectors += [(i, (2 * np.array(vectors[i][1])).tolist()) for i in range(0, 40, 4)] + vectors[:10]  # ids on several rows, equal and not
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").repartition(3)
     got = sorted(map(tuple, topk.top_k(frame, F.col("vec_id") % 10 == 0, 5).collect()))
     assert got == brute([(i, np.float32(v).astype(float).tolist()) for i, v in vectors], 5, 10)
@@ -43,7 +44,8 @@ def test_top_k_edges(spark):
     schema = "vec_id long, embedding array<double>, score int, rank string"
     rows = [(0, [0.5, 0.5], 1, "x"), (1, None, 1, "x"), (2, [0.1, None], 1, "x"), (3, [float("nan"), 1.0], 1, "x"), (4, [float("inf"), 1.0], 1, "x"), (5, [1.0, 0.0], 1, "x"), (5, [1.0, 0.0], 1, "x"), (6, [], 1, "x"), (None, [1.0, 1.0], 1, "x"), (-50, [1.0], 1, "x"), (7, [1e30, 1.0], 1, "x")]
     got = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, schema), F.col("vec_id") % 50 == 0, 5).collect()))
-    assert got == [(-50, 1, 5, 65536), (-50, 2, 0, 32768), (-50, 3, 6, 0), (0, 1, -50, 32768), (0, 2, 5, 32768), (0, 3, 6, 0)]
+    # both rows of vec_id 5 are candidates
+    assert got == [(-50, 1, 5, 65536), (-50, 2, 5, 65536), (-50, 3, 0, 32768), (-50, 4, 6, 0), (0, 1, -50, 32768), (0, 2, 5, 32768), (0, 3, 5, 32768), (0, 4, 6, 0)]
     assert topk.top_k(spark.createDataFrame([], schema), F.col("vec_id") % 50 == 0).count() == 0
     wide = spark.createDataFrame([(0, [2.0**50, 2.0**50]), (1, [2.0**50, 1.0])], "vec_id long, embedding array<double>")
     assert [r.score for r in topk.top_k(wide, F.lit(True), 1).collect()] == [2**63 - 1] * 2
@@ -61,6 +63,16 @@ def plain(v):
     return None if v is None or isinstance(v, float) and math.isnan(v) else round(v, 9) if isinstance(v, float) else v
 
 
+def test_top_k_of_repeated_ids_matches_sql(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), rng.normal(0, 0.3, 8).astype(np.float32).tolist()) for i in rng.integers(0, 120, 300)]
+    spark.createDataFrame(rows + [(None, [1.0] * 8), (50, None)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.sql(oracles.SQL["op1_topk"]).fetchall()
+    assert sorted(map(tuple, queries.QUERIES["op1_topk"](spark, str(tmp_path)).collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("name", sorted(oracles.SQL))
 def test_query_matches_sql(spark, duck, name):
     rows = queries.QUERIES[name](spark, SF)

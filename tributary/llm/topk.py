@@ -26,6 +26,8 @@ CANDIDATES = 16_384
 QUERIES = 1_024
 #: Longest vectors that give the first floors.
 SEED = 4_096
+#: Tasks that blocks of candidates are dealt to, at most.
+MOST_TASKS = 20_000
 #: Candidates scored at once in a block; shares of the dimensions after which pairs are dropped.
 STRIP = 1_024
 STEPS = (0.25, 0.5)
@@ -34,28 +36,25 @@ STEPS = (0.25, 0.5)
 def quantise(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
     """vec_id, vector (little-endian int64 of floor(scale * x)), norm, dims; rows with null or non-finite parts are left out.
 
-    Components whose floor does not fit a long are left out as well.
+    Vectors with a component whose floor does not fit a long are left out as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = {"vec_id": [], "vector": [], "norm": [], "dims": []}
-            column = b.column(1)
-            for i, vec_id in enumerate(b.column(0).to_pylist()):
-                value = column[i]
-                if vec_id is None or not value.is_valid:
-                    continue
-                parts = value.values
-                if parts.null_count:
-                    continue
-                x = np.floor(scale * parts.to_numpy(zero_copy_only=False).astype(np.float64))
-                if not np.isfinite(x).all() or (np.abs(x) >= 2.0**63).any():
-                    continue
-                out["vec_id"].append(vec_id)
-                out["vector"].append(x.astype("<i8").tobytes())
-                out["norm"].append(float(np.sqrt((x * x).sum())))
-                out["dims"].append(len(x))
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("vec_id", pa.int64()), ("vector", pa.binary()), ("norm", pa.float64()), ("dims", pa.int32())]))
+            lists = b.column(1)
+            flat, offsets = lists.values, lists.offsets.to_numpy()
+            with np.errstate(invalid="ignore", over="ignore"):
+                x = np.floor(scale * flat.to_numpy(zero_copy_only=False).astype(np.float64))
+            # a null is NaN here; sums by differences of running counts, as lists may be empty or null
+            bad = np.r_[0, np.cumsum(~(np.abs(x) < 2.0**63))]
+            good = lists.is_valid().to_numpy(zero_copy_only=False) & b.column(0).is_valid().to_numpy(zero_copy_only=False)
+            good &= bad[offsets[1:]] == bad[offsets[:-1]]
+            raw = np.where(np.abs(x) < 2.0**63, x, 0).astype("<i8")
+            at = np.flatnonzero(good)
+            pieces = [raw[offsets[i] : offsets[i + 1]] for i in at]
+            norms = [float(np.sqrt((v.astype(np.float64) ** 2).sum())) for v in pieces]
+            columns = [b.column(0).take(pa.array(at)), pa.array([v.tobytes() for v in pieces], pa.binary()), pa.array(norms, pa.float64()), pa.array(np.diff(offsets)[at].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "vector", "norm", "dims"])
 
     return vectors.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(run, "vec_id long, vector binary, norm double, dims int")
 
@@ -95,13 +94,10 @@ def exact_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (q * c).sum(axis=1)
 
 
-def search(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, norms: np.ndarray, turn: np.ndarray, k: int, floor: np.ndarray):
-    """Best k of candidates (by falling norm) for each query: arrays query place, vec_id, score.
-
-    ``floor`` holds scores that a query's k-th best is known to reach.
-    """
+def search(queries: Block, candidates: Block, k: int):
+    """Best k of candidates (by falling norm) for each query, but the query's own row: arrays query place, vec_id, score."""
+    q, rq, c, rc, norms, floor = queries.vectors, queries.turned, candidates.vectors, candidates.turned, candidates.norms, queries.floors
     dims = q.shape[1]
-    rq, rc = q @ turn, c @ turn
     cuts = sorted({max(1, round(dims * s)) for s in STEPS if dims}) + [dims]
     rest_q = [np.sqrt((rq[:, x:] ** 2).sum(axis=1)) for x in cuts]
     rest_c = [np.sqrt((rc[:, x:] ** 2).sum(axis=1)) for x in cuts]
@@ -130,13 +126,13 @@ def search(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, norms
             if whole:
                 break
         who = live[row]
-        own = qid[who] != cid[i + col]
+        own = queries.rows[who] != candidates.rows[i + col]
         who, col = who[own], i + col[own]
         if not len(who):
             continue
         if len(who) > 8 * k * len(q):  # exact scores only for what can be among the best of this strip
             who, col = _shortlist(who, col, sums[own], norm_q, norms[i], k)
-        best = _best(np.r_[best[0], who], np.r_[best[1], cid[col]], np.r_[best[2], exact_scores(q[who], c[col])], k)
+        best = _best(np.r_[best[0], who], np.r_[best[1], candidates.ids[col]], np.r_[best[2], exact_scores(q[who], c[col])], k)
         counts = np.bincount(best[0], minlength=len(q))
         full = np.flatnonzero(counts == k)
         last = np.cumsum(counts) - 1
@@ -163,93 +159,153 @@ def _best(who: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int):
     return who[rank < k], vec[rank < k], score[rank < k]
 
 
-_PACKED = "block long, width int, ids binary, vectors binary, floors binary"
+class Block:
+    """Vectors of one block by falling norm, rotated once however often they are searched."""
+
+    def __init__(self, packed: dict, dims: int, turn: np.ndarray):
+        self.rows, self.ids = (np.frombuffer(packed[k], "<i8") for k in ("rows", "ids"))
+        self.vectors = np.frombuffer(packed["vectors"], f"<i{packed['width']}").astype(np.int64).reshape(len(self.ids), dims)
+        self.floors = np.frombuffer(packed["floors"], "<f8")
+        self.norms = np.sqrt((self.vectors.astype(np.float64) ** 2).sum(axis=1))
+        order = np.argsort(-self.norms, kind="stable")
+        self.rows, self.ids, self.vectors, self.floors, self.norms = (x[order] for x in (self.rows, self.ids, self.vectors, self.floors, self.norms))
+        self.turned = self.vectors @ turn
+
+
+_PARTS = ("width", "rows", "ids", "vectors", "floors")
+_PACKED = "block long, longest double, need double, width int, rows binary, ids binary, vectors binary, floors binary"
 
 
 def _pack(rows: DataFrame, size: int, dims: int, order: list, partitions: int) -> DataFrame:
-    """Rows (vec_id, vector, floor) to one row per block of up to ``size`` neighbours in ``order``, vectors in the least width that holds them."""
+    """Rows (at, vec_id, vector, floor) to one row per block of up to ``size`` neighbours in ``order``, vectors in the least width that holds them.
+
+    ``longest`` is a block's greatest norm, ``need`` the least norm of a candidate that may reach one of its floors.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, vectors, floors, number = [], [], [], task_id() << 33
+        held, number = ([], [], [], []), task_id() << 33
 
         def block() -> pa.RecordBatch:
-            x = _matrix(vectors, dims)
+            x, floors = _matrix(held[2], dims), np.array(held[3], "<f8")
             most = max(abs(int(x.min())), abs(int(x.max()))) if x.size else 0
             width = next(w for w in (2, 4, 8) if most < 1 << (8 * w - 1) or w == 8)
-            parts = ([number], [width], [np.array(ids, "<i8").tobytes()], [x.astype(f"<i{width}").tobytes()], [np.array(floors, "<f8").tobytes()])
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(parts, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["block", "width", "ids", "vectors", "floors"])
+            norms = np.sqrt((x.astype(np.float64) ** 2).sum(axis=1))
+            # as search() drops queries, with its slack
+            with np.errstate(divide="ignore", invalid="ignore"):
+                need = np.where(floors <= 1e-3, -1.0, (floors - 2e-3) / (norms * (1 + 2e-9)))
+            parts = ([number], [float(norms.max(initial=0))], [float(need.min(initial=np.inf))], [width], *([np.array(v, "<i8").tobytes()] for v in held[:2]), [x.astype(f"<i{width}").tobytes()], [floors.tobytes()])
+            kinds = (pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(parts, kinds, strict=True)], names=["block", "longest", "need", *_PARTS])
 
         for b in batches:
-            for vec_id, vector, floor in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                ids.append(vec_id)
-                vectors.append(vector)
-                floors.append(floor)
-                if len(ids) == size:
+            for row in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                for kept, value in zip(held, row, strict=True):
+                    kept.append(value)
+                if len(held[0]) == size:
                     yield block()
-                    ids, vectors, floors, number = [], [], [], number + 1
-        if ids:
+                    held, number = ([], [], [], []), number + 1
+        if held[0]:
             yield block()
 
-    dealt = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("vec_id", "vector", "floor")
+    dealt = rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order).select("at", "vec_id", "vector", "floor")
     return dealt.mapInArrow(run, _PACKED)
 
 
-def _score(queries: DataFrame, candidates: DataFrame, cells: int, dims: int, turn: np.ndarray, k: int) -> DataFrame:
-    """Each query's best k in each block of candidates.
+_FOUND = "query_at long, query_id long, vec_id long, score long"
+
+
+def _answer(queries: Block, candidates: Block, k: int) -> pa.RecordBatch:
+    who, vec, score = search(queries, candidates, k)
+    return pa.RecordBatch.from_arrays([pa.array(queries.rows[who]), pa.array(queries.ids[who]), pa.array(vec), pa.array(score)], names=["query_at", "query_id", "vec_id", "score"])
+
+
+def _best_of(found: DataFrame, k: int) -> DataFrame:
+    best = Window.partitionBy("query_at").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
-    A block of candidates lies in one cell, and each block of queries is sent to every cell.
+
+def _score_seed(queries: DataFrame, seed: dict, dims: int, turn: np.ndarray, k: int) -> DataFrame:
+    """Each query's best k in the one block of the longest vectors, which every task gets (at most ``SEED`` vectors)."""
+    shared = queries.sparkSession.sparkContext.broadcast((seed, turn))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed, turn = shared.value
+        candidates = Block(packed, dims, turn)
+        for b in batches:
+            for q in b.to_pylist():
+                yield _answer(Block(q, dims, turn), candidates, k)
+
+    return _best_of(queries.select(*_PARTS).mapInArrow(run, _FOUND), k)
+
+
+def _score(queries: DataFrame, candidates: DataFrame, dims: int, turn: np.ndarray, k: int) -> DataFrame:
+    """Each query's best k in each block of candidates that may hold one of them.
+
+    By Cauchy-Schwarz a block whose longest vector is under what a block of
+    queries needs can't, so such pairs of blocks are never sent. A block of
+    candidates is opened once; the blocks of queries pass by it.
     """
-    cell = F.pmod(F.xxhash64("block"), F.lit(cells)).cast("int")
-    c = candidates.select(cell.alias("cell"), F.struct("width", "ids", "vectors").alias("c"))
-    q = queries.select(F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"), F.struct("width", "ids", "vectors", "floors").alias("q"))
+    # one row per ``CANDIDATES`` vectors: a number and a norm
+    norms = sorted(((r["longest"], r["block"]) for r in candidates.select("longest", "block").collect()), reverse=True)
+    spark = candidates.sparkSession
+    shared = spark.sparkContext.broadcast((np.array([-x for x, _ in norms]), turn))
+    cell_of = spark.createDataFrame([(b, i) for i, (_, b) in enumerate(norms)], "block long, cell int")
+    c = candidates.join(cell_of, "block").select("cell", F.lit(0).alias("kind"), *_PARTS)
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        falling = shared.value[0]
+        for b in batches:
+            for i in range(b.num_rows):
+                cells = int(np.searchsorted(falling, -b.column(0)[i].as_py(), side="right"))
+                for j in range(0, cells, 64):
+                    n = min(64, cells - j)
+                    row = [b.column(m).slice(i, 1).take(pa.array(np.zeros(n, np.int64))) for m in range(1, b.num_columns)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(j, j + n, dtype=np.int32)), pa.array(np.ones(n, np.int32)), *row], names=["cell", "kind", *_PARTS])
 
-    def opened(width: int, ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
-        i = np.frombuffer(ids, "<i8")
-        return i, np.frombuffer(vectors, f"<i{width}").astype(np.int64).reshape(len(i), dims)
+    packed = "cell int, kind int, width int, rows binary, ids binary, vectors binary, floors binary"
+    q = queries.select("need", *_PARTS).mapInArrow(sent, packed)
+    both = c.unionByName(q).repartition(min(max(len(norms), 1), MOST_TASKS), "cell").sortWithinPartitions("cell", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn, block = shared.value[1], None
         for b in batches:
-            for qb, cb in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                (qid, q), (cid, c) = opened(qb["width"], qb["ids"], qb["vectors"]), opened(cb["width"], cb["ids"], cb["vectors"])
-                norms = np.sqrt((c.astype(np.float64) ** 2).sum(axis=1))
-                order = np.argsort(-norms, kind="stable")
-                who, vec, score = search(qid, q, cid[order], c[order], norms[order], turn, k, np.frombuffer(qb["floors"], "<f8"))
-                yield pa.RecordBatch.from_arrays([pa.array(qid[who]), pa.array(vec), pa.array(score)], names=["query_id", "vec_id", "score"])
-
-    found = q.join(c, "cell").select("q", "c").mapInArrow(run, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+            for row in b.to_pylist():
+                if row["kind"] == 0:
+                    block = Block(row, dims, turn)
+                else:
+                    yield _answer(Block(row, dims, turn), block, k)
+
+    return _best_of(both.mapInArrow(run, _FOUND), k)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
-    """Best k other vectors by inner product of each query: query_id, rank (from 1), vec_id, score; ties to the smaller vec_id.
+    """Best k other rows by inner product of each query row: query_id, rank (from 1), vec_id, score; ties to the smaller vec_id.
 
     Reads vec_id and embedding. Rows whose vec_id is null, or whose embedding
     is null or has a null, NaN or infinite part, take no part; shorter vectors
-    count as filled with zeros; a vec_id on several rows counts once, with its
-    greatest vector; an empty table gives no rows.
+    count as filled with zeros. Every row but a query's own is a candidate:
+    rows that share a vec_id, equal or not, each are, and each is a query if
+    one is. An empty table gives no rows.
 
     Queries and candidates meet as blocks of bounded size, after a block of the
     longest vectors has given every query a floor for its k-th score.
     """
     spark = vectors.sparkSession
     small_batches(spark)
-    rows = materialise(quantise(vectors), "vectors")
-    counts = rows.agg(F.count(F.lit(1)), F.count_distinct("vec_id"), F.max("dims"), F.count_if(is_query)).first()
-    if not counts[0]:
+    rows = materialise(quantise(vectors).withColumn("at", F.monotonically_increasing_id()), "vectors")
+    counts = rows.agg(F.count(F.lit(1)), F.max("dims"), F.count_if(is_query)).first()
+    if not counts[0] or not counts[2]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if counts[0] != counts[1]:
-        rows = materialise(rows.groupBy("vec_id").agg(F.max(F.struct("vector", "norm")).alias("v")).select("vec_id", "v.*"), "vectors")
-    dims, n = counts[2], shuffle_partitions(spark)
+    dims, n = counts[1], shuffle_partitions(spark)
     turn = rotation(rows, dims)
-    longest = [F.desc("norm"), F.col("vec_id")]
-    rows = rows.select("vec_id", "vector", "norm", F.lit(float("-inf")).alias("floor"))
-    queries, query_blocks = rows.filter(is_query), -(-counts[3] // QUERIES) or 1
-    candidates = materialise(_pack(rows, CANDIDATES, dims, longest, max(n, -(-counts[1] // CANDIDATES))), "candidates")
-    seed = _pack(rows.orderBy(*longest).limit(SEED), SEED, dims, longest, 1)
-    first = _score(_pack(queries, QUERIES, dims, ["vec_id"], query_blocks), seed, 1, dims, turn, k)
-    floors = first.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("known"))
-    floored = queries.drop("floor").join(floors, "vec_id", "left").withColumn("floor", F.coalesce("known", F.lit(float("-inf"))))
-    blocks = materialise(_pack(floored, QUERIES, dims, ["vec_id"], query_blocks), "queries")
-    best = _score(blocks, candidates, candidates.count(), dims, turn, k)
+    longest = [F.desc("norm"), F.col("vec_id"), F.col("at")]
+    rows = rows.select("at", "vec_id", "vector", "norm", F.lit(float("-inf")).alias("floor"))
+    queries, query_blocks = rows.filter(is_query), -(-counts[2] // QUERIES)
+    candidates = materialise(_pack(rows, CANDIDATES, dims, longest, max(n, -(-counts[0] // CANDIDATES))), "candidates")
+    seed = _pack(rows.orderBy(*longest).limit(SEED), SEED, dims, longest, 1).first().asDict()
+    first = _score_seed(_pack(queries, QUERIES, dims, ["vec_id", "at"], query_blocks), seed, dims, turn, k)
+    floors = first.filter(F.col("rank") == k).select(F.col("query_at").alias("at"), F.col("score").cast("double").alias("known"))
+    floored = queries.drop("floor").join(floors, "at", "left").withColumn("floor", F.coalesce("known", F.lit(float("-inf"))))
+    blocks = materialise(_pack(floored, QUERIES, dims, ["vec_id", "at"], query_blocks), "queries")
+    best = _score(blocks, candidates, dims, turn, k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
