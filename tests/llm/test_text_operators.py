@@ -554,12 +554,21 @@ def test_large_groups_lose_no_link(spark):
     codes = np.unique(np.concatenate([c ^ (np.int64(1) << rng.integers(0, 63, (120, 3))).sum(axis=1) for c in centre]))
     frame = spark.createDataFrame([(int(c),) for c in codes], "code long")
     plain = brute_components(codes.view(np.uint64), codes.tolist(), 4)
-    for fragment in (10, 1 << 14):
-        links = simhash.components(simhash.near_links(frame, 4, fragment=fragment)).collect()
+    for fragment, agree in ((10, 1), (1 << 14, None), (10, 2), (1 << 14, 3)):
+        links = simhash.components(simhash.near_links(frame, 4, fragment=fragment, agree=agree)).collect()
         root = {r.x: r.y for r in links}
         assert [root.get(c, c) for c in codes.tolist()] == plain
 
 
+def test_more_blocks_agree_as_codes_grow():
+    assert [simhash.blocks_that_agree(n, 4) for n in (0, 10**6, 10**10, 10**13)] == [1, 1, 2, 3]
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**63, 300, dtype=np.uint64).reshape(-1, 1)
+    b = a ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (300, 4)).astype(np.uint64), axis=1).reshape(-1, 1)
+    for agree in (1, 2, 3):
+        assert (simhash.block_routes(a, 4, agree) == simhash.block_routes(b, 4, agree)).any(axis=1).all()
+
+
 def test_distinct_documents(spark, odd, empty):
     rng = np.random.default_rng(4)
     words = [f"v{i}" for i in range(3000)]

@@ -17,6 +17,7 @@ an exact comparison of the whole sets decides.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -196,11 +197,26 @@ class GrayIndex:
         return who[near], nodes[near], far[near]
 
 
-def block_routes(codes: np.ndarray, most: int) -> np.ndarray:
-    """(n, most + 1) groups of 64-bit codes, one for each of most + 1 blocks of bits: codes within ``most`` differences meet in one."""
-    edges = [round(64 * i / (most + 1)) for i in range(most + 2)]
-    cut = lambda a, b: codes[:, 0] >> np.uint64(a) & np.uint64((1 << (b - a)) - 1)
-    return np.stack([cut(a, b).astype(np.int64) | i << 32 for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))], axis=1)
+def block_routes(codes: np.ndarray, most: int, agree: int = 1) -> np.ndarray:
+    """Groups of 64-bit codes, one for each choice of ``agree`` among most + agree blocks of bits: codes within ``most`` differences meet in one."""
+    n = most + agree
+    edges = [round(64 * i / n) for i in range(n + 1)]
+    cut = [codes[:, 0] >> np.uint64(a) & np.uint64((1 << (b - a)) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    routes = []
+    for number, chosen in enumerate(combinations(range(n), agree)):
+        key = np.zeros(len(codes), np.uint64)
+        for i in chosen:
+            key = key << np.uint64(edges[i + 1] - edges[i]) | cut[i]
+        routes.append(key.astype(np.int64) | number << 48)
+    return np.stack(routes, axis=1)
+
+
+def blocks_that_agree(n: int, most: int, fragment: int = FRAGMENT) -> int:
+    """The least number of blocks of bits that makes groups of n spread codes no larger than ``fragment``; any number loses no link."""
+    agree = 1
+    while agree < 3 and n / 2 ** (64 * agree / (most + agree)) > fragment:
+        agree += 1
+    return agree
 
 
 def _router(route: Callable[[np.ndarray], np.ndarray], parts: int):
@@ -246,14 +262,16 @@ def _index_groups(most: int, parts: int):
     return run
 
 
-def near_links(codes: DataFrame, most: int, parts: int = 1, fragment: int = FRAGMENT) -> DataFrame:
+def near_links(codes: DataFrame, most: int, parts: int = 1, fragment: int = FRAGMENT, agree: int | None = None) -> DataFrame:
     """Spanning links (x, y) of distinct codes (column code) that differ in ``most`` or fewer bits and meet in a group.
 
-    Groups are blocks of bits, in which every such pair meets. A group beyond
+    Groups are of codes that agree on ``agree`` blocks of bits (more, the more
+    codes there are), in which every such pair meets. A group beyond
     ``fragment`` codes is dealt out as all pairs of its fragments, so that no
     task holds it whole and no pair is lost.
     """
-    routed = codes.select("code").mapInArrow(_router(lambda c: block_routes(c, most), parts), f"route long, code {_kind(parts)}")
+    agree = agree or blocks_that_agree(codes.count(), most)
+    routed = codes.select("code").mapInArrow(_router(lambda c: block_routes(c, most, agree), parts), f"route long, code {_kind(parts)}")
     # few: a group has more than ``fragment`` members
     large = routed.groupBy("route").count().filter(F.col("count") > fragment).select("route", F.ceil(F.col("count") / fragment).cast("int").alias("of"))
     dealt = join_small(routed, materialise(large, "large"), "route", "left")
