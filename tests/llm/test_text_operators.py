@@ -379,6 +379,14 @@ def test_quality_counts(spark, odd, empty):
     assert quality.keep(docs).columns == docs.columns and quality.assess(empty).count() == 0
 
 
+def test_lines_of_other_scripts_and_languages(spark):
+    sentences = "吾輩は猫である。\n名前はまだ無い。\nどこで生れたか。\n頓と見当がつかぬ。\n" * 3
+    pages = [(1, sentences, "ja", "a"), (2, "यह एक वाक्य है।\nدا جملة كاملة؟\n" * 4, "hi", "a"), (3, "吾輩は猫であると言ったのは誰か分からない\n" * 12, "ja", "a"), (4, "Ein Satz mit vielen guten Worten hier steht.\nAlle Rechte vorbehalten. TOUS DROITS RÉSERVÉS.", "de", "a")]
+    rows = {r.row.doc_id: r.quality for r in quality.assess(documents(spark, pages)).collect()}
+    assert all(rows[i].left == 1.0 for i in (1, 2, 3))
+    assert rows[4].cleaned == "Ein Satz mit vielen guten Worten hier steht."
+
+
 # --- language-model scores ---------------------------------------------------------------
 
 

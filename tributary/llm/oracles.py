@@ -48,7 +48,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
-_Q = {k: getattr(quality, k).replace("'", "''") for k in ("BOILERPLATE", "SENTENCE_END", "SYMBOL", "MARKS", "BAR")}
+_Q = {k: getattr(quality, k).replace("'", "''") for k in ("SENTENCE_END", "UNSPACED", "SYMBOL", "MARKS", "BAR")}
 
 OP6 = f"""
 WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
@@ -59,10 +59,10 @@ twins AS (SELECT row_id, i, count(*) OVER (PARTITION BY row_id, gram) AS n FROM
 covered AS (SELECT row_id, count(DISTINCT i + k) AS n FROM twins, range(0, 5) AS o(k) WHERE n >= 2 GROUP BY row_id),
 good AS (
   SELECT row_id, list_filter(lines, lambda x: NOT (
-      (len(regexp_extract_all(x, {_WORDS})) < {quality.SHORT_LINE} AND NOT regexp_matches(x, '{_Q["SENTENCE_END"]}'))
+      (len(regexp_extract_all(x, {_WORDS})) < {quality.SHORT_LINE} AND NOT regexp_matches(right(rtrim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12)), {quality.END_CHARS}), '{_Q["SENTENCE_END"]}') AND len(regexp_extract_all(x, '{_Q["UNSPACED"]}')) < {quality.SHORT_UNSPACED})
       OR len(regexp_extract_all(x, '{_Q["MARKS"]}')) > len(regexp_extract_all(x, {_WORDS})) * {quality.MOST_MARKS}
       OR len(regexp_extract_all(x, '{_Q["BAR"]}')) > len(regexp_extract_all(x, {_WORDS})) * {quality.MOST_BARS}
-      OR regexp_matches(x, '{_Q["BOILERPLATE"]}'))) AS good FROM w),
+      OR regexp_matches(lower(x), '{"|".join(quality.BOILERPLATE)}'))) AS good FROM w),
 m AS (
   SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
          CAST(len(regexp_extract_all(text, '{_Q["SYMBOL"]}')) AS BIGINT) AS n_symbols,
