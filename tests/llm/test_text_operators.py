@@ -468,6 +468,17 @@ def test_lm_scores(spark, odd, empty):
     assert whole.n_tokens == 60_002
 
 
+def test_lm_scores_long_texts_in_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    docs = documents(spark, [(i, " ".join(rng.choice(["the", "cat", "sät", "on", "mats", "1"], int(n))), "en", "a") for i, n in enumerate(rng.integers(0, 400, 25))] + [(90, "x" * 3000, "en", "a")])
+    held = common.crc_mod("doc_id", 5) == 1
+    whole = sorted(map(tuple, lm.score(docs, held).collect()))
+    monkeypatch.setattr(lm, "TEXTS", 200)
+    monkeypatch.setattr(lm, "KEYED", 70)
+    got = sorted(map(tuple, lm.score(docs, held).collect()))
+    assert got == [(*r[:5], pytest.approx(r[5]), pytest.approx(r[6])) for r in whole]
+
+
 def test_lm_rare_words_meet_their_counts(spark, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 4)
     docs = documents(spark, [(i, f"the cat {i} sat " * 3, "en", "a") for i in range(30)])

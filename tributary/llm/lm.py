@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -130,18 +131,38 @@ def compile_table(counts: np.ndarray) -> np.ndarray:
     return table
 
 
-def _keys_of(text: bytes) -> Iterator[np.ndarray]:
-    before, parts = b"", list(slices(text))
-    for i, part in enumerate(parts):
-        yield keys(part, before, i == len(parts) - 1)
-        before = (before + part)[-LONG:]
+def _keys_of(text: bytes, before: bytes = b"", last: bool = True) -> Iterator[np.ndarray]:
+    """Keys of a text in windows of bounded size."""
+    for i in range(0, max(1, len(text)), KEYED):
+        yield keys(text[i : i + KEYED], (before + text[max(0, i - LONG) : i])[-LONG:], last and i + KEYED >= len(text))
+
+
+def _distinct(texts: list[Piece]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Ranges of texts with their distinct keys, the number of each key among them, and the keys of each text; a long text comes in several windows."""
+    for i, j in groups_of([t.text for t in texts], KEYED):
+        if j - i == 1:
+            windows = ([k] for k in _keys_of(*texts[i]))
+        else:
+            windows = iter([[k for t in texts[i:j] for k in _keys_of(*t)]])
+        for parts in windows:
+            coded = pa.array(np.concatenate(parts)).dictionary_encode()
+            yield i, j, coded.dictionary.to_numpy(), coded.indices.to_numpy(), np.array(list(map(len, parts)), np.int64)
 
 
-def _distinct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of texts, the number of each key among them, and the keys of each text."""
-    parts = [[p for p in _keys_of(t)] for t in texts]
-    coded = pa.array(np.concatenate([p for x in parts for p in x])).dictionary_encode()
-    return coded.dictionary.to_numpy(), coded.indices.to_numpy(), np.array([sum(map(len, x)) for x in parts], np.int64)
+class Piece(NamedTuple):
+    """A part of a text that ends at white space, the last bytes before it, and whether the text ends with it."""
+
+    text: bytes
+    before: bytes = b""
+    last: bool = True
+
+
+def _pieces(text: bytes) -> list[Piece]:
+    parts, out, before = list(slices(text, TEXTS)), [], b""
+    for i, part in enumerate(parts):
+        out.append(Piece(part, before, i == len(parts) - 1))
+        before = (before + part[-LONG:])[-LONG:]
+    return out
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,8 +193,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [t.lower() for t in text_bytes(b.column(0))]
         words[END_WORD] += len(texts)
-        for i, j in groups_of(texts, KEYED):
-            key, index, _ = _distinct(texts[i:j])
+        for t in texts:
+            for part in slices(t):
+                words.update(part.split())
+            if len(words) > HELD_WORDS:
+                yield from flush()
+        for _, _, key, index, _ in _distinct([Piece(t) for t in texts]):
             held.append((key, np.bincount(index, minlength=len(key))))
             n_held += len(key)
             if n_held > HELD_KEYS:
@@ -183,11 +208,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield from flush_keys()
                     held.clear()
                     n_held = 0
-            for t in texts[i:j]:
-                for part in slices(t):
-                    words.update(part.split())
-            if len(words) > HELD_WORDS:
-                yield from flush()
     yield from flush()
     if held:
         yield from flush_keys()
@@ -235,34 +255,46 @@ def _deepest(trie):
     return run
 
 
-CHUNK = pa.schema([("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("texts", pa.binary()), ("contexts", pa.list_(pa.int64()))])
+CHUNK = pa.schema([("chunk", pa.int64()), ("row_ids", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("befores", pa.list_(pa.binary())), ("lasts", pa.list_(pa.bool_())), ("texts", pa.binary()), ("contexts", pa.list_(pa.int64()))])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, held_out, text) to chunks of whole texts (compressed), each with its distinct deepest contexts."""
-    row, ids, held, texts, contexts, size = task_id() << 33, [], [], [], [], 0
+    """Rows (doc_id, held_out, text) to chunks of texts (compressed), each with its distinct deepest contexts.
+
+    A text beyond ``TEXTS`` is cut at white space into chunks of its own.
+    """
+    chunk = row = task_id() << 33
+    held, contexts, size = [], [], 0
 
     def close() -> pa.RecordBatch:
-        found = np.unique(np.concatenate(contexts))
-        packed = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
-        return pa.RecordBatch.from_pydict({"chunk": [row], "doc_ids": [ids], "held_out": [held], "sizes": [[len(t) for t in texts]], "texts": [packed], "contexts": [found]}, schema=CHUNK)
+        packed = pa.compress(b"".join(p.text for *_, p in held), codec="zstd", asbytes=True)
+        rows, ids, outs, pieces = zip(*held, strict=True)
+        columns = {"row_ids": rows, "doc_ids": ids, "held_out": outs, "sizes": [len(p.text) for p in pieces], "befores": [p.before for p in pieces], "lasts": [p.last for p in pieces]}
+        return pa.RecordBatch.from_pydict({"chunk": [chunk], **{k: [list(v)] for k, v in columns.items()}, "texts": [packed], "contexts": [_merged(contexts)]}, schema=CHUNK)
 
     for b in batches:
-        lower = [t.lower() for t in text_bytes(b.column(2))]
-        for i, j in groups_of(lower, KEYED):
-            more = sum(map(len, lower[i:j]))
-            if texts and size + more > TEXTS:
+        texts = [[(row + i, d, h, p) for p in _pieces(t.lower())] for i, (d, h, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2)), strict=True))]
+        row += b.num_rows
+        flat = [x for pieces in texts for x in pieces]
+        for i, j in groups_of([p.text for *_, p in flat], KEYED):
+            more = sum(len(p.text) for *_, p in flat[i:j])
+            if held and size + more > TEXTS:
                 yield close()
-                row, ids, held, texts, contexts, size = row + len(texts), [], [], [], [], 0
-            contexts.append(np.unique(_distinct(lower[i:j])[0] >> SYMBOL_BITS))
-            ids += b.column(0)[i:j].to_pylist()
-            held += b.column(1)[i:j].to_pylist()
-            texts += lower[i:j]
+                chunk, held, contexts, size = chunk + 1, [], [], 0
+            for _, _, key, _, _ in _distinct([p for *_, p in flat[i:j]]):
+                contexts.append(np.unique(key >> SYMBOL_BITS))
+                if len(contexts) > 16:
+                    contexts = [_merged(contexts)]
+            held += flat[i:j]
             size += more
-    if texts:
+    if held:
         yield close()
 
 
+def _merged(contexts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(contexts))
+
+
 class _Deepest:
     """A chunk's contexts, opened for scoring."""
 
@@ -298,27 +330,32 @@ def _scorer(model, trie):
         seen[trie.value[0]] = True
         for b in batches:
             for r in range(b.num_rows):
-                row, ids, held, sizes = (b.column(k)[r].as_py() for k in range(4))
+                _, rows, ids, held, sizes, befores, lasts = (b.column(k)[r].as_py() for k in range(7))
                 ends = np.cumsum(sizes)
-                whole = memoryview(pa.decompress(b.column(4)[r].as_buffer(), int(ends[-1]), codec="zstd"))
-                texts = [bytes(whole[e - n : e]) for e, n in zip(ends.tolist(), sizes, strict=True)]
-                found = b.column(5)[r].values
-                deepest = _Deepest(b.column(5).values.slice(0, 0) if found is None else found)
-                for i, j in groups_of(texts, KEYED):
-                    yield _score_group(row + i, ids[i:j], held[i:j], texts[i:j], deepest, table, seen, head)
+                whole = memoryview(pa.decompress(b.column(7)[r].as_buffer(), int(ends[-1]), codec="zstd"))
+                texts = [Piece(bytes(whole[e - n : e]), before, last) for e, n, before, last in zip(ends.tolist(), sizes, befores, lasts, strict=True)]
+                found = b.column(8)[r].values
+                deepest = _Deepest(b.column(8).values.slice(0, 0) if found is None else found)
+                for i, j in groups_of([t.text for t in texts], KEYED):
+                    yield _score_group(rows[i:j], ids[i:j], held[i:j], texts[i:j], deepest, table, seen, head)
 
     return run
 
 
-def _score_group(row: int, ids: list, held: list, texts: list[bytes], deepest: _Deepest, table: np.ndarray, seen: np.ndarray, head: dict) -> pa.RecordBatch:
-    key, index, lengths = _distinct(texts)
-    each = deepest.scores(key, table, seen)[index]
+def _score_group(rows: list, ids: list, held: list, texts: list[Piece], deepest: _Deepest, table: np.ndarray, seen: np.ndarray, head: dict) -> pa.RecordBatch:
     out = {k: [] for k in SCORED.names}
-    out["row_id"], out["doc_id"], out["held_out"] = list(range(row, row + len(texts))), ids, held
-    out["score"] = np.add.reduceat(each, np.cumsum(lengths) - lengths)
+    out["row_id"], out["doc_id"], out["held_out"] = rows, ids, held
+    scores = np.zeros(len(texts))
+    for i, j, key, index, lengths in _distinct(texts):
+        if j - i == 1:  # a window of one text, which may have no byte and no end
+            scores[i] += deepest.scores(key, table, seen)[index].sum()
+        else:
+            each = np.r_[deepest.scores(key, table, seen)[index], 0.0]
+            scores[i:j] = np.where(lengths > 0, np.add.reduceat(each, np.cumsum(lengths) - lengths), 0.0)
+    out["score"] = scores
     get = head.get
     end = get(END_WORD)
-    for text in texts:
+    for text, _, last in texts:
         known, total, tail, n = 0, 0.0, Counter(), 0
         for part in slices(text):
             words = part.split()
@@ -328,11 +365,11 @@ def _score_group(row: int, ids: list, held: list, texts: list[bytes], deepest: _
             known += len(words) - len(rare)
             total += math.fsum(v for v in got if v is not None)
             tail.update(rare)
-        out["n_tokens"].append(n + 1)
-        out["head_known"].append(known + (end is not None))
-        out["head_score"].append(total + (end or 0.0))
-        if end is None:
+        if last and end is None:
             tail[END_WORD] += 1
+        out["n_tokens"].append(n + last)
+        out["head_known"].append(known + (last and end is not None))
+        out["head_score"].append(total + ((end or 0.0) if last else 0.0))
         out["tail"].append([{"word": w, "n": c} for w, c in tail.items()])
     return pa.RecordBatch.from_pydict(out, schema=SCORED)
 
@@ -368,7 +405,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     seen = F.struct(key.bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)).alias("symbol"), "n")
     by_context = counts.filter("place < 0").groupBy(F.shiftright(key, SYMBOL_BITS).alias("context")).agg(F.collect_list(seen).alias("seen"))
     deepest = by_context.mapInArrow(_deepest(trie), "context long, symbols array<short>, scores array<float>, met float, unmet float")
-    chunks = rows.mapInArrow(_chunks, "chunk long, doc_ids array<long>, held_out array<boolean>, sizes array<long>, texts binary, contexts array<long>")
+    chunks = rows.mapInArrow(_chunks, "chunk long, row_ids array<long>, doc_ids array<long>, held_out array<boolean>, sizes array<long>, befores array<binary>, lasts array<boolean>, texts binary, contexts array<long>")
     chunks = materialise(chunks, "lm-chunks")
     sent = chunks.select("chunk", F.explode("contexts").alias("context")).join(deepest, "context")
     # at most as many as a chunk has bytes
@@ -381,7 +418,9 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     met = tail.join(rare, "word", "left")
     times = F.col("times")
     by_row = met.groupBy("row_id").agg(F.sum(F.when(F.col("n").isNotNull(), times).otherwise(0)).alias("tail_known"), F.sum(times * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail_score"))
-    all_ = scored.drop("tail").join(by_row, "row_id", "left")
+    # the pieces of a long text are added up
+    once = scored.groupBy("row_id").agg(*[F.first(c).alias(c) for c in ("doc_id", "held_out")], *[F.sum(c).alias(c) for c in ("n_tokens", "head_known", "head_score", "score")])
+    all_ = once.join(by_row, "row_id", "left")
     norm = math.log10(total + 0.5 * (distinct + 1))
     base = F.col("head_score") + F.coalesce("tail_score", F.lit(0.0)) - F.col("n_tokens") * norm
     return all_.select("doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
