@@ -96,8 +96,8 @@ def brute_targets(sizes, weights=(1, 2, 3), most=3):
         capped |= set(over)
 
 
-def brute_taken(rows, part):
-    """Words taken of each row (doc_id, size, source) by a plain weighted fair queue of packets."""
+def brute_taken(rows, part, whole=False):
+    """Words taken of each row (doc_id, size, source) by a plain weighted fair queue of packets; ``whole``: a packet is taken if its middle is within the budget."""
     import hashlib
 
     sizes = {}
@@ -116,6 +116,11 @@ def brute_taken(rows, part):
                     queue.append(((before + f + length) / goal[s], ranks[s], e, k, known, d, n, f, length, at))
                 before += n
     left, taken = sum(sizes.values()), [0] * len(rows)
+    if whole:
+        for *_, length, at in sorted(x for x in queue if x[0] * goal[rows[x[-1]][2]] - x[-2] < goal[rows[x[-1]][2]] - 1e-6):
+            taken[at] += length if length / 2 <= left else 0
+            left -= length
+        return taken
     for *_, length, at in sorted(queue):
         taken[at] += min(length, left)
         left -= min(length, left)
@@ -268,6 +273,27 @@ def test_sharding(spark, odd, empty):
     path = sharding.write(odd, shards=4)
     back = spark.read.parquet(path)
     assert back.count() == len(ODD) and set(odd.columns) < set(back.columns)
+    assert sorted(str(r.text) for r in back.collect()) == sorted(str(t) for _, t, *_ in ODD)
+
+
+def test_shards_prune_files_on_every_dimension(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, "x" * int(2 ** rng.uniform(2, 12)), ["de", "en", "es", "fr"][int(rng.integers(4))], f"s{rng.integers(8)}") for i in range(2000)]
+    rows += [rows[0]] * 300  # copies of one row
+    back = spark.read.parquet(sharding.write(documents(spark, rows), shards=128)).withColumn("size", F.length("text"))
+    assert back.count() == len(rows)
+    ends = back.groupBy("__shard").agg(*[f(c).alias(f"{n}_{c}") for c in ("lang", "source", "size", "doc_id") for n, f in (("low", F.min), ("high", F.max))]).collect()
+    # files whose statistics admit a value; without clustering each would admit nearly all (a file has 18 rows)
+    admitted = {c: sum(r[f"low_{c}"] <= v <= r[f"high_{c}"] for r in ends) / len(ends) for c, v in (("lang", "en"), ("source", "s3"), ("size", 2500), ("doc_id", 700))}
+    assert len(ends) == 128 and all(v < 0.75 for v in admitted.values()) and sum(admitted.values()) < 2, admitted
+
+
+def test_many_distinct_sources_are_ranked_alike(spark):
+    rows = [(i, "t", None if i % 50 == 0 else "en", f"host{i % 331}") for i in range(700)]
+    names = sorted({r[3] for r in rows})
+    cells = {r.source: r.cell for r in sharding._by_rank(documents(spark, rows), "source", "cell", 5).collect()}
+    assert cells == {n: i * 32 // len(names) for i, n in enumerate(names)}
+    assert {(r.lang, r.cell) for r in sharding._by_rank(documents(spark, rows), "lang", "cell", 5).collect()} == {("en", 0), (None, 16)}
 
 
 # --- language identification -----------------------------------------------------

@@ -1,6 +1,8 @@
 import glob
 import math
+import zlib
 from collections import Counter
+from itertools import groupby
 from pathlib import Path
 
 import duckdb
@@ -93,6 +95,146 @@ def test_query_covers_every_document(spark, name):
     assert {r.doc_id for r in queries.QUERIES[name](spark, SF).select("doc_id").collect()} == ids
 
 
+@pytest.fixture(scope="module")
+def small(tmp_path_factory, spark):
+    """A table of documents with nulls, copies, near copies and odd texts, and its rows."""
+    from tests.llm.test_text_operators import ODD
+
+    rng = np.random.default_rng(11)
+    words = ["the", "Cat", "sät", "on", "mats.", "1", "tion", "shing"]
+    rows = [x for x in ODD if x[0] != 7 and x[0] is not None]
+    rows += [(100 + i, " ".join(rng.choice(words, int(n))), ["en", "de"][i % 2], f"s{i % 3}") for i, n in enumerate(rng.integers(0, 200, 40))]
+    rows += [(300 + i, r[1] + " again", r[2], r[3]) for i, r in enumerate(rows[-10:])] + [(400, rows[-1][1], "en", "s1")]
+    folder = tmp_path_factory.mktemp("small")
+    spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    return str(folder), rows
+
+
+def held(doc_id, mod, rest):
+    return zlib.crc32(str(doc_id).encode()) % mod == rest
+
+
+def test_op3_query(spark, small):
+    folder, rows = small
+    got = {(r.doc_id, r.held_out): r for r in queries.QUERIES["op3_langid"](spark, folder).collect()}
+    assert set(got) == {(d, held(d, 4, 2)) for d, *_ in rows}
+    letters = {d: any(c.isalpha() for c in t or "") for d, t, *_ in rows}
+    assert all((r.lang_pred == "und") == (not letters[r.doc_id]) and 0 <= r.score <= 1 and r.lang_pred in ("und", "de", "en", "fr") for r in got.values())
+
+
+def test_op4_query(spark, small):
+    from tests.llm.test_text_operators import WORD, brute_count
+    from tributary.llm import tokencount
+
+    folder, rows = small
+    scores = tokencount.unigram_scores(tokencount.default_path())
+    u = tokencount.Unigram(scores)
+    known = {w: brute_count(scores, u.unknown, u.longest, "▁" + w) for _, t, *_ in rows for w in WORD.findall(t or "")}
+    want = [(d, len(ws), sum(map(known.get, ws))) for d, t, *_ in rows for ws in [WORD.findall(t or "")]]
+    assert sorted(map(tuple, queries.QUERIES["op4_tokencount"](spark, folder).collect())) == sorted(want)
+
+
+def test_op5_query(spark, small):
+    from tests.llm.test_text_operators import crc, ids_of
+
+    folder, rows = small
+    # rows of one doc_id may come either way round
+    want, start = [], 0
+    for d, t, *_ in sorted(rows, key=lambda r: r[0]):
+        ids = ids_of(t)
+        want.append((d, start, len(ids), crc(ids)))
+        start += len(ids)
+    got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in queries.QUERIES["op5_dac"](spark, folder).collect())
+    assert got == sorted(want)
+
+
+def test_op7_query(spark, small):
+    from tests.llm.test_text_operators import brute_ppm
+
+    folder, rows = small
+    low = {d: (t or "").encode().lower() for d, t, *_ in rows}
+    train = [(t or "").encode().lower() for d, t, *_ in rows if not held(d, 5, 1)]
+    c = Counter(x for t in train for x in [*t.split(), b""])
+    n, v = sum(c.values()), len(c)
+    got = queries.QUERIES["op7_ppm"](spark, folder).collect()
+    assert Counter(r.doc_id for r in got) == Counter(d for d, *_ in rows)
+    for r in got:
+        toks = [*low[r.doc_id].split(), b""]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(r.doc_id, 5, 1), len(toks), sum(c[x] > 0 for x in toks), n)
+        assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in toks))
+    for r in got[::6]:
+        assert r.score == pytest.approx(brute_ppm(train, low[r.doc_id]), rel=1e-4)
+
+
+def test_op9_query(spark, small):
+    from tests.llm.test_text_operators import brute_components, brute_fingerprint
+
+    folder, rows = small
+    codes = np.array([brute_fingerprint(t or "") for _, t, *_ in rows], np.uint64)
+    want = brute_components(codes, [r[0] for r in rows], 4)
+    got = sorted(map(tuple, queries.QUERIES["op9_simhash"](spark, folder).collect()))
+    assert got == sorted((r[0], f"{int(c):016x}", w) for r, c, w in zip(rows, codes, want, strict=True))
+
+
+def test_op10_query(spark, small):
+    """Pieces cover every token once, and the stream is that of a plain deficit round-robin."""
+    from tests.llm.test_text_operators import crc, ids_of
+    from tributary.llm import packing
+
+    folder, rows = small
+    ids = {d: ids_of(t) for d, t, *_ in rows}
+    got = sorted(queries.QUERIES["op10_packing"](spark, folder).collect(), key=lambda r: (r.sequence_id, r.offset))
+    place = 0
+    for r in got:
+        assert r.sequence_id * packing.WINDOW + r.offset == place and r.ids_crc32 == crc(ids[r.doc_id][r.start : r.start + r.length]) and r.doc_tokens == len(ids[r.doc_id])
+        place += r.length
+    assert place == sum(len(ids[d]) for d, *_ in rows)
+    # plain rounds: a queue's deficit grows by its share of a window, and it sends packets while the deficit covers them
+    mix = {r.doc_id: r.h for r in spark.createDataFrame([(d,) for d in ids], "doc_id long").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    queues = {}
+    for d, _, _, s in sorted(rows, key=lambda r: (mix[r[0]], r[0])):
+        queues.setdefault(s, []).extend((d, at, min(packing.PACKET, len(ids[d]) - at)) for at in range(0, len(ids[d]), packing.PACKET))
+    tokens = {s: sum(n for *_, n in q) for s, q in queues.items()}
+    deficit, sent, plain = dict.fromkeys(queues, 0.0), dict.fromkeys(queues, 0), []
+    while any(sent[s] < len(q) for s, q in queues.items()):
+        for s in sorted(queues, key=lambda s: (s is None, s or "")):
+            deficit[s] += packing.WINDOW * tokens[s] / sum(tokens.values())
+            while sent[s] < len(queues[s]) and queues[s][sent[s]][2] <= deficit[s] + 1e-6:
+                plain.append((s, queues[s][sent[s]][2]))
+                deficit[s] -= plain[-1][1]
+                sent[s] += 1
+    runs = lambda items: [(s, sum(n for _, n in g)) for s, g in groupby(items, lambda x: x[0])]
+    assert runs((r.source, r.length) for r in got) == runs(plain)
+
+
+def test_pipeline_stages_match_brute_force(spark, small):
+    """Quality, near copies, mixing and packing against plain versions; language by its own rule."""
+    from tests.llm.test_text_operators import brute_kept, brute_taken, ids_of
+    from tributary.llm import common, langid, quality
+
+    folder, _ = small
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    # written and read again, as the next stage drops the scratch tables of the one before
+    stage = {name: lambda *a, f=f: common.materialise(f(*a), "stage") for name, f in corpus_pipeline.STAGES}
+    told = stage["language_id"](spark, docs, folder)
+    model = langid.train(docs.select("doc_id", "text", "lang"), F.lit(True))
+    assert Counter(map(tuple, told.collect())) == Counter((r.row.doc_id, r.row.text, r.language.lang_pred, r.row.source, r.row.n_chars) for r in langid.identify(docs, model).collect() if not r.language.rejected)
+    good = stage["quality_rules"](spark, told, folder)
+    assert Counter(map(tuple, good.collect())) == Counter(
+        (r.row.doc_id, r.quality.cleaned, r.row.lang, r.row.source, r.row.n_chars if r.quality.cleaned == r.row.text else len(r.quality.cleaned)) for r in quality.assess(told).collect() if r.quality.kept
+    )
+    rows = [tuple(r)[:4] for r in good.collect()]
+    distinct = stage["near_dedup"](spark, good, folder)
+    kept = [tuple(r) for r in distinct.collect()]
+    assert sorted(r[0] for r in kept) == brute_kept(rows) and len(kept) < len(rows)
+    mixed = [r.doc_id for r in stage["mixing"](spark, distinct, folder).collect()]
+    plain = [(r[0], len(r[1].split()), r[3]) for r in kept]
+    whole = brute_taken(plain, 1 << 40, True)
+    assert Counter(mixed) == Counter({d: times for (d, n, _), taken in zip(plain, whole, strict=True) if (times := taken // n)})
+    packed = stage["packing"](spark, spark.createDataFrame([r for r in kept for _ in range(2)], distinct.schema), folder).collect()
+    assert sum(r.length for r in packed) == 2 * sum(len(ids_of(r[1])) for r in kept)
+
+
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "near_dedup", "mixing", "packing"]
     rows = corpus_pipeline.run(spark, SF).collect()

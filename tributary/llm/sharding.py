@@ -12,7 +12,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tributary.llm.common import join_small, materialise, ordered_prefix, scratch_path
 
@@ -51,11 +50,11 @@ def _curve(bits: int):
 
 
 def _by_rank(df: DataFrame, column: str, cell: str, bits: int) -> DataFrame:
-    """Quantise a text column to its place among the distinct values, null last."""
-    values = df.groupBy(column).agg(F.lit(1).alias("_")).drop("_")
-    places = values.select(F.col(column).alias("__value"), F.row_number().over(Window.orderBy(F.col(column).asc_nulls_last())).alias("__rank"), F.count(F.lit(1)).over(Window.partitionBy()).alias("__of"))
+    """Quantise a text column to its place among the distinct values, null last; however many there are, no task ranks them all."""
+    values = df.groupBy(column).agg(F.lit(1).cast("long").alias("__one")).withColumn("__null", F.col(column).isNull())
+    places = materialise(ordered_prefix(values, ["__null", column], "__one", "__rank").select(F.col(column).alias("__value"), "__rank"), "places")
     joined = join_small(df, places, F.col(column).eqNullSafe(F.col("__value")))
-    return joined.withColumn(cell, F.floor((F.col("__rank") - 1) * (1 << bits) / F.col("__of")).cast("int")).drop("__value", "__rank", "__of")
+    return joined.withColumn(cell, F.floor(F.col("__rank") * (1 << bits) / F.lit(places.count())).cast("int")).drop("__value", "__rank")
 
 
 def linear_cell(value: Column, low: Column, high: Column, bits: int) -> Column:
@@ -75,8 +74,14 @@ def place(docs: DataFrame, shards: int, bits: int = BITS) -> DataFrame:
     values of a dimension have a cell of their own or the first; equal rows are
     separate; an empty table gives no rows.
     """
+    placed = _placed(docs.select("doc_id", "text", "lang", "source", F.lit(0).cast("long").alias("__at")), shards, bits)
+    return placed.drop("__at")
+
+
+def _placed(docs: DataFrame, shards: int, bits: int) -> DataFrame:
+    """As place(), with the column ``__at`` of the input."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
+    rows = docs.select("__at", F.col("doc_id").cast("long").alias("doc_id"), "lang", "source", (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
     rows = materialise(rows, "shard-meta")
     ends = rows.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     n = ends["n"]
@@ -84,24 +89,23 @@ def place(docs: DataFrame, shards: int, bits: int = BITS) -> DataFrame:
     cells = cells.withColumn("c_size", F.least(F.length(F.bin("size")) - 1, F.lit((1 << bits) - 1)))
     cells = cells.withColumn("c_id", linear_cell(F.col("doc_id"), F.lit(ends["low"]).cast("long"), F.lit(ends["high"]).cast("long"), bits))
     curve = _curve(bits)(F.struct("c_lang", "c_source", "c_size", "c_id"))
-    keyed = cells.select("doc_id", "size", "text_crc32", curve.alias("hilbert"), F.lit(1).cast("long").alias("one"))
+    keyed = cells.select("__at", "doc_id", "size", "text_crc32", curve.alias("hilbert"), F.lit(1).cast("long").alias("one"))
     ranked = ordered_prefix(keyed, ["hilbert", "doc_id", "size", "text_crc32"], "one", "rank")
     shard = F.expr(f"CAST(rank * {shards} DIV {max(n, 1)} AS INT)")
-    return ranked.withColumn("shard", shard).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.expr(f"rank - (shard * CAST({n} AS BIGINT) + {shards - 1}) DIV {shards}").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+    return ranked.withColumn("shard", shard).select("__at", "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.expr(f"rank - (shard * CAST({n} AS BIGINT) + {shards - 1}) DIV {shards}").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "hilbert")
 
 
 def write(docs: DataFrame, path: str | None = None, shards: int = 24) -> str:
     """Write the documents themselves as one folder per shard, in curve order; returns the path.
 
-    Rows meet their shard by (doc_id, crc of the text, number among equals), so
-    repeated documents stay apart.
+    All columns are kept. Rows meet their shard by a number of their own, so
+    repeated documents stay apart, however many there are. Nulls are as in
+    place(); an empty table gives a folder without rows.
     """
     path = path or scratch_path(docs.sparkSession, "shards")
-    nth = lambda df: df.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__crc").orderBy(F.lit(1))))
-    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    left = nth(docs.select(F.struct("*").alias("__row"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.crc32(raw).alias("__crc")))
-    placed = place(docs, shards)
-    right = nth(placed.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id"), F.col("text_crc32").alias("__crc"), F.col("shard").alias("__shard"), F.col("slot").alias("__slot")))
-    rows = left.join(right, ["__id", "__crc", "__nth"]).select("__row.*", "__shard", "__slot")
-    rows.repartitionByRange(shards, "__shard").sortWithinPartitions("__shard", "__slot").write.partitionBy("__shard").parquet(path)
+    rows = materialise(docs.select(F.struct("*").alias("__row"), F.monotonically_increasing_id().alias("__at")), "documents")
+    named = rows.select("__at", *[F.col(f"__row.{c}").alias(c) for c in ("doc_id", "text", "lang", "source")])
+    placed = _placed(named, shards, BITS).select("__at", F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
+    out = rows.join(placed, "__at").select("__row.*", "__shard", "__slot")
+    out.repartitionByRange(shards, "__shard").sortWithinPartitions("__shard", "__slot").write.partitionBy("__shard").parquet(path)
     return path
