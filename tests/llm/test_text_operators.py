@@ -537,8 +537,26 @@ def test_trie_counts_match_plain_dynamic_programming(words):
     assert u.counts(words).tolist() == [brute_count(scores, u.unknown, u.longest, w) for w in words]
 
 
+def brute_scores(texts):
+    """Log-probabilities of the vocabulary's pieces from the tokenizer's own split of every word."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=tokencount.default_path())
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    n = dict.fromkeys((p for p in pieces if not re.fullmatch(r"<0x[0-9A-F]{2}>|<\w+>|</\w+>", p)), 0)
+    for text in texts:
+        for word in WORD.findall(text or ""):
+            for at in range(0, len(word), tokencount.LONGEST_SPLIT):
+                for i in model.encode(word[at : at + tokencount.LONGEST_SPLIT]):
+                    if pieces[i] in n:
+                        n[pieces[i]] += 1
+    total = sum(n.values()) + 0.5 * len(n)
+    return {p: float(np.log((c + 0.5) / total)) for p, c in n.items()}
+
+
 def test_token_counts(spark, odd, empty):
-    scores = tokencount.unigram_scores(tokencount.default_path())
+    scores = tokencount.learned_scores(odd)
+    assert scores == {p: pytest.approx(v) for p, v in brute_scores([t for _, t, *_ in ODD]).items()}
     u = tokencount.Unigram(scores)
     rows = tokencount.count_tokens(odd).collect()
     want = [(str(d), len(ws), sum(brute_count(scores, u.unknown, u.longest, "▁" + w) for w in ws)) for d, t, *_ in ODD if d != 7 for ws in [WORD.findall(t or "")]]

@@ -123,11 +123,11 @@ def test_op3_query(spark, small):
 
 
 def test_op4_query(spark, small):
-    from tests.llm.test_text_operators import WORD, brute_count
+    from tests.llm.test_text_operators import WORD, brute_count, brute_scores
     from tributary.llm import tokencount
 
     folder, rows = small
-    scores = tokencount.unigram_scores(tokencount.default_path())
+    scores = brute_scores([r[1] for r in rows])
     u = tokencount.Unigram(scores)
     known = {w: brute_count(scores, u.unknown, u.longest, "▁" + w) for _, t, *_ in rows for w in WORD.findall(t or "")}
     want = [(d, len(ws), sum(map(known.get, ws))) for d, t, *_ in rows for ws in [WORD.findall(t or "")]]

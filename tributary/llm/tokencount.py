@@ -7,13 +7,18 @@ score and piece count are worked out once, level by level, from those of its
 ancestors; a pre-token's count is read at its last node. A node also carries,
 for each ancestor within the longest piece, the state of a second trie that
 holds the vocabulary, so no substring is ever built or hashed.
+
+The vocabulary is that of a public tokenizer file. The pieces' log-probabilities
+are learned from all documents: how often each piece comes in the file's own
+split of the corpus.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +32,10 @@ from tributary.llm.common import groups_of, slices, small_batches, text_bytes
 UNKNOWN_PENALTY = 10.0
 #: Distinct pre-tokens whose counts a worker keeps.
 KEPT = 500_000
+#: Distinct pre-tokens that a worker adds up before it hands them on.
+HELD = 500_000
+#: Characters of a pre-token that are split at once while scores are learned.
+LONGEST_SPLIT = 4_096
 #: The first character of a piece at the start of a word.
 WORD_START = "▁"
 _BYTE_PIECE = re.compile(r"<0x[0-9A-F]{2}>|<\w+>|</\w+>")
@@ -38,14 +47,51 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def unigram_scores(path: str) -> dict[str, float]:
-    """Pieces of a SentencePiece file with log-probabilities of a Zipf law over their rank (control and byte pieces left out)."""
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to pre-tokens and how often each comes, added up while they fit."""
+    held: Counter[bytes] = Counter()
+
+    def flush() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+        held.clear()
+        return batch
+
+    for b in batches:
+        for text in text_bytes(b.column(0)):
+            for part in slices(text):
+                held.update(part.split())
+            if len(held) > HELD:
+                yield flush()
+    yield flush()
+
+
+def learned_scores(docs: DataFrame, path: str | None = None) -> dict[str, float]:
+    """Log-probability of each piece of a SentencePiece file by its share of the pieces in rows with a text (add half; control and byte pieces left out).
+
+    Pre-tokens are counted over all rows first, so each distinct one is split
+    once; the driver gets a number for each piece of the vocabulary.
+    """
     import sentencepiece
 
+    path = path or default_path()
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        for b in batches:
+            total = np.zeros(model.get_piece_size(), np.int64)
+            for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                text = word.decode()
+                for i in range(0, len(text), LONGEST_SPLIT):
+                    np.add.at(total, model.encode(text[i : i + LONGEST_SPLIT]), n)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["piece", "n"])
+
+    words = docs.select("text").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = dict(map(tuple, words.mapInArrow(split, "piece long, n long").groupBy("piece").agg(F.sum("n")).collect()))
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = [p for p in (model.id_to_piece(i) for i in range(model.get_piece_size())) if not _BYTE_PIECE.fullmatch(p)]
-    norm = np.log(np.sum(1.0 / np.arange(1, len(pieces) + 1)))
-    return {p: float(-np.log(i + 1.0) - norm) for i, p in enumerate(pieces)}
+    pieces = [(p, counts.get(i, 0)) for i in range(model.get_piece_size()) if not _BYTE_PIECE.fullmatch(p := model.id_to_piece(i))]
+    norm = np.log(sum(n for _, n in pieces) + 0.5 * len(pieces))
+    return {p: float(np.log(n + 0.5) - norm) for p, n in pieces}
 
 
 class Unigram:
@@ -138,26 +184,32 @@ class Unigram:
         return [sum(map(len, parts)) for parts in split], [sum(sum(map(place, p)) for p in parts) for parts in split]
 
 
-@lru_cache(maxsize=4)
-def _unigram(path: str) -> Unigram:
-    return Unigram(unigram_scores(path))
+#: The model of the last count that this worker took part in.
+_made: dict[str, Unigram] = {}
 
 
-def count_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_pretokens and n_tokens of every whole text of rows (doc_id, text).
+def count_tokens(docs: DataFrame, path: str | None = None, scores: dict[str, float] | None = None) -> DataFrame:
+    """doc_id, n_pretokens and n_tokens of every whole text of rows (doc_id, text), under ``scores`` or those learned from the rows.
 
     Pre-tokens are words between ASCII white space, each with the word-start
     mark. Null and empty texts have none; equal rows count alike; an empty
-    table gives no rows. Nothing is shuffled.
+    table gives no rows; columns besides those read are left out. Only distinct
+    pre-tokens and their counts are shuffled.
     """
-    small_batches(docs.sparkSession)
-    path = path or default_path()
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(learned_scores(docs, path) if scores is None else scores)
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if name not in _made:
+            _made.clear()
+            _made[name] = Unigram(shared.value)
+        unigram = _made[name]
         for b in batches:
             texts = text_bytes(b.column(1))
             for i, j in groups_of(texts):
-                words, tokens = _unigram(path).count_texts(texts[i:j])
+                words, tokens = unigram.count_texts(texts[i:j])
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=["doc_id", "n_pretokens", "n_tokens"])
 
     rows = docs.select("doc_id", "text")
