@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -57,7 +58,7 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed by release() or at the session's end."""
     path = f"{shared_dir(spark)}/tributary-{name}-{uuid.uuid4().hex}"
-    (_staged.append(path) if _in_stage[0] else _scratch.append((spark, path)))
+    (_staged.append(path) if getattr(_in_stage, "yes", False) else _scratch.append((spark, path)))
     return path
 
 
@@ -74,17 +75,17 @@ def release(spark: SparkSession) -> None:
 
 
 _staged: list[str] = []
-_in_stage = [False]
+_in_stage = threading.local()
 
 
 @contextmanager
 def stage_scratch() -> Iterator[None]:
     """Scratch tables made inside belong to one pipeline stage."""
-    _in_stage[0] = True
+    _in_stage.yes = True
     try:
         yield
     finally:
-        _in_stage[0] = False
+        _in_stage.yes = False
 
 
 def release_stages(spark: SparkSession) -> None:
