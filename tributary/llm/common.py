@@ -3,6 +3,7 @@ that all executors see, bounded broadcasts, ordered running sums, words."""
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import threading
@@ -134,6 +135,31 @@ def n_words(col: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(col), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+#: What Python workers keep from task to task, by the operator that it serves.
+KEPT: dict[str, dict] = {}
+
+
+def fresh_task(keeps: str = "") -> None:
+    """Called first in a Python task: workers are reused from stage to stage, so what others have kept or freed is given back."""
+    for name, kept in KEPT.items():
+        if name != keeps:
+            kept.clear()
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def _find_libc() -> ctypes.CDLL | None:
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        return libc if hasattr(libc, "malloc_trim") else None
+    except OSError:
+        return None
+
+
+_libc = _find_libc()
+
+
 def task_id() -> int:
     return TaskContext.get().partitionId()
 
@@ -152,6 +178,7 @@ def ordered_prefix(df: DataFrame, order: list[str | Column], value: str, before:
     arrow_group = group
 
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         pid, last, base = task_id(), None, 0
         for b in batches:
             if not b.num_rows:

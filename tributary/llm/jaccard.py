@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
+from tributary.llm.common import fresh_task, join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
 from tributary.llm.components import forest
 
 WORDS = 5
@@ -32,7 +32,7 @@ SHARED = 1 << 10
 CELL = 1 << 20
 LEAST_WEIGHT = 1 << 8
 #: Pairs of shingles that are added up at once.
-ADDED = 1 << 22
+ADDED = 1 << 20
 
 _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -71,6 +71,7 @@ def common_shingles(texts: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray,
     drawn = texts.filter(F.pmod(F.xxhash64("at"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for b in batches:
             for t in text_bytes(b.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(t).view(np.int64))], names=["token"])
@@ -110,6 +111,7 @@ def verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     both = both.repartition(shuffle_partitions(spark), "y", "salt").sortWithinPartitions("y", "salt", F.col("x").asc_nulls_first())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         centre = np.zeros(0, np.uint64)
         for b in batches:
             found: tuple[list, list] = ([], [])
@@ -168,8 +170,9 @@ def similar_roots(sets: list[np.ndarray], root: np.ndarray, side: np.ndarray) ->
     names, label = np.unique(root, return_inverse=True)
     # each pair has a member outside the largest root
     rows = np.flatnonzero(label != np.argmax(np.bincount(label)))
-    for i in range(0, len(rows), 1024):
-        some = rows[i : i + 1024]
+    step = max(1, ADDED // len(sets))
+    for i in range(0, len(rows), step):
+        some = rows[i : i + step]
         found = 9 * overlaps(sets, some).astype(np.float64) >= 4 * (n[some, None] + n)
         found &= (root[some, None] != root) & ((side[some, None] != side) | (side < 0))
         a, b = np.nonzero(found)
@@ -194,6 +197,7 @@ def compare_cells(texts: DataFrame, cells: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[least[moved]])], names=["x", "y"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         now, held = None, ([], [], [], [])
         for b in batches:
             rows = zip(*(b.column(i).to_pylist() for i in range(4)), text_bytes(b.column(4)), strict=True)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import groups_of, small_batches, text_bytes
+from tributary.llm.common import fresh_task, groups_of, small_batches, text_bytes
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -43,7 +43,7 @@ MOST_REJECTED = 0.0005
 UNSEEN = 2.0**-20
 ORDERS = (1, 2, 3, 4)
 #: Bytes whose subwords are held at once.
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 
 # White space, ASCII marks and digits all become the word edge.
 _FOLD = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
@@ -229,6 +229,7 @@ def train(docs: DataFrame, use: Column, sample_per_language: int = SAMPLE_PER_LA
     drawn = usable.select("lang", F.lower("text").alias("text"), draw.alias("draw")).withColumn("share", by_language(share.get))
 
     def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for b in batches:
             made = [histogram(t) for t in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x, _ in made], pa.binary()), pa.array([y.tobytes() for _, y in made], pa.binary())], names=["lang", "at", "share"])
@@ -240,6 +241,7 @@ def train(docs: DataFrame, use: Column, sample_per_language: int = SAMPLE_PER_LA
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for b in batches:
             got = shared.value.means(text_bytes(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in got], pa.binary())], names=["lang", "means"])
@@ -284,6 +286,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         return [pa.array(pred), pa.array(score), pa.array(rejected)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for b in batches:
             language = pa.StructArray.from_arrays(answer(b.column(1)), names=names)
             yield pa.RecordBatch.from_arrays([b.column(0), language], names=["row", "language"])

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tributary.llm.common import groups_of, join_small, materialise, ordered_prefix, small_batches, task_id, text_bytes
+from tributary.llm.common import fresh_task, groups_of, join_small, materialise, ordered_prefix, small_batches, task_id, text_bytes
 from tributary.llm.wordids import default_path, encoder
 
 WINDOW = 4096
@@ -37,6 +37,7 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID
     tail = struct.pack("<I", end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task("wordids")
         words, row = encoder(tokenizer), task_id() << 33
         for b in batches:
             texts = text_bytes(b.column(2))
@@ -54,6 +55,7 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their packets (start, length, place in the stream) to pieces with ids."""
+    fresh_task()
     for b in batches:
         out: dict[str, list] = {k: [] for k in PIECES.names}
         for doc_id, source, n, wide, data, packets in zip(*(b.column(k).to_pylist() for k in range(6)), strict=True):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm import jaccard
-from tributary.llm.common import join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
+from tributary.llm.common import fresh_task, join_small, materialise, shuffle_partitions, slices, small_batches, text_bytes
 from tributary.llm.components import components, forest
 
 FAN = 16
@@ -102,6 +102,7 @@ def fingerprints(docs: DataFrame, words: int = 4, parts: int = 1) -> DataFrame:
     others = [f for f in docs.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for b in batches:
             codes = np.array([fingerprint(t, words, parts=parts) for t in text_bytes(b.column(len(others)))], np.uint64).reshape(-1, parts)
             yield pa.RecordBatch.from_arrays([*b.columns[: len(others)], _to_arrow(codes)], names=[*(f.name for f in others), "code"])
@@ -166,25 +167,27 @@ class GrayIndex:
         """Places (a, b), a < b, of all pairs within a group that differ in at most ``most`` bits, in blocks."""
         group_of = np.repeat(np.arange(len(self.group_starts)), np.diff(np.r_[self.group_starts, self.n]))
         tops = np.diff(self.tops)[group_of]
-        block = np.maximum.accumulate(np.cumsum(tops) // PAIRS)
+        held = max(FAN, PAIRS // self.codes.shape[1])
+        block = np.maximum.accumulate(np.cumsum(tops) // held)
         cuts = np.r_[0, np.flatnonzero(np.diff(block)) + 1, self.n]
         top = len(self.levels) - 1
+
+        def down(level: int, who: np.ndarray, nodes: np.ndarray, far: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """The leaves below pairs of code and node; one block of pairs a level is held."""
+            if level == 0:
+                if len(who):
+                    yield who, nodes
+                return
+            first, count = self.levels[level][2], self.levels[level][3]
+            for i in range(0, len(who), held // FAN):
+                some = slice(i, i + held // FAN)
+                owner, child = _spread(first[nodes[some]], count[nodes[some]])
+                yield from down(level - 1, *self._keep(level - 1, who[some][owner], child, far[some][owner], most))
+
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             owner, nodes = _spread(self.tops[group_of[a:b]], tops[a:b])
             who = owner + a
-            work = [(top, *self._keep(top, who, nodes, np.zeros(len(who), np.int16), most))]
-            while work:
-                level, who, nodes, far = work.pop()
-                if not len(who):
-                    continue
-                if level == 0:
-                    yield who, nodes
-                    continue
-                step = max(1, PAIRS // FAN)
-                first, count = self.levels[level][2], self.levels[level][3]
-                for i in range(0, len(who), step):
-                    owner, child = _spread(first[nodes[i : i + step]], count[nodes[i : i + step]])
-                    work.append((level - 1, *self._keep(level - 1, who[i : i + step][owner], child, far[i : i + step][owner], most)))
+            yield from down(top, *self._keep(top, who, nodes, np.zeros(len(who), np.int16), most))
 
     def _keep(self, level: int, who: np.ndarray, nodes: np.ndarray, far: np.ndarray, most: int):
         pattern, _, _, _, last = self.levels[level]
@@ -243,6 +246,7 @@ def _index_groups(most: int, parts: int):
         return pa.RecordBatch.from_arrays([_to_arrow(codes[moved]), _to_arrow(codes[root[moved]])], names=["x", "y"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         keys, codes, held = [], [], 0
         for b in batches:
             if not b.num_rows:
@@ -331,6 +335,7 @@ def distinct_sets(texts: DataFrame) -> DataFrame:
     names = ["n", "calm", "prefix", *_CODES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         for b in batches:
             sets = [jaccard.shingles(t) for t in text_bytes(b.column(2))]
             digest = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
@@ -365,6 +370,7 @@ def _heads(hot: bool):
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by their first column, those that share it with another row."""
+    fresh_task()
     held, before, names = None, False, []
     for b in batches:
         if not b.num_rows:
@@ -447,6 +453,7 @@ def _group_pairs(neighbours: bool):
         return pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(times)], names=["x", "y", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task()
         held, size = [], 0
         for b in batches:
             if not b.num_rows:

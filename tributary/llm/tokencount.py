@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tributary.llm.common import groups_of, slices, small_batches, text_bytes
+from tributary.llm.common import KEPT as KEPT_BETWEEN
+from tributary.llm.common import fresh_task, groups_of, slices, small_batches, text_bytes
 
 #: Score of a character that no piece covers, below the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -186,6 +187,7 @@ class Unigram:
 
 #: The model of the last count that this worker took part in.
 _made: dict[str, Unigram] = {}
+KEPT_BETWEEN["tokencount"] = _made
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, scores: dict[str, float] | None = None) -> DataFrame:
@@ -202,6 +204,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, scores: dict[str, flo
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh_task("tokencount")
         if name not in _made:
             _made.clear()
             _made[name] = Unigram(shared.value)

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-from tributary.llm.common import slices
+from tributary.llm.common import KEPT, slices
 
 #: Word generations hold so many words each; the older one is dropped when the newer is full.
 GENERATION = 400_000
@@ -22,6 +22,7 @@ _SUFFIX = b".,!?;:#$%&*|\"()[]{}-_=+/\\@^~`<>"
 _WORDS_AT_ONCE = 50
 
 _encoders: dict[str, WordIds] = {}
+KEPT["wordids"] = _encoders
 
 
 def default_path() -> str:
