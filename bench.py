@@ -43,7 +43,7 @@ def stream_batches(spark, sf_dir: str) -> tuple[int, list[float]]:
         last[0] = time.perf_counter()
 
     listener.batch = True
-    c = Connector(spark, cfg, listener, ParquetChangeSource(spark, f"{folder}/coll", f"{folder}/log", key="c_custkey"), folder, MemoryControlStore(), document="c_name")
+    c = Connector(spark, cfg, listener, ParquetChangeSource(spark, f"{folder}/coll", f"{folder}/log", key="c_custkey", files_per_trigger=1), folder, MemoryControlStore(), document="c_name")
     c.start(available_now=True)  # the snapshot, and whatever came after its watermark: nothing
     for p in range(cfg.partition.total_partition):
         c.progress.write(p, resume_token=-1)
