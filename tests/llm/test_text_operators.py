@@ -416,19 +416,30 @@ def test_lines_of_other_scripts_and_languages(spark):
 # --- language-model scores ---------------------------------------------------------------
 
 
-def test_ppm_probabilities_sum_to_one():
-    counts = np.zeros((lm.CONTEXTS, lm.SYMBOLS), np.int64)
-    for k in lm._keys_of(b"abracadabra, the theatre. " * 40):
-        np.add.at(counts.ravel(), lm.places(k), 1)
-    table = lm.compile_table(counts)
-    assert np.allclose((10.0 ** table.astype(np.float64)).sum(axis=1), 1, atol=1e-4)
-    assert np.allclose((10.0 ** lm.compile_table(np.zeros_like(counts)).astype(np.float64)).sum(axis=1), 1, atol=1e-4)
+def opened(spark, train):
+    """The model that texts of every context meet."""
+    import pyarrow as pa
+
+    counts = [(None, int(k), 1) for t in train for k in lm.keys(t)]
+    rows = lm.nodes(lm.trie(spark.createDataFrame(counts, "word binary, key long, n long"))).toArrow()
+    return lm.Model(pa.StructArray.from_arrays([c.combine_chunks() for c in rows.columns], names=rows.column_names))
+
+
+@pytest.mark.parametrize("train", [[b"abracadabra, the theatre. " * 4, "дом, домой".encode(), b""], [bytes(range(256)) * 2], [b"\x00", bytes(range(255, -1, -1))]])
+def test_ppm_probabilities(spark, train):
+    model = opened(spark, train)
+    for context in (b"    ", b"abra", b"heat", b"zzra", b"zzzz", "до".encode(), b"\x00\x01\x02\x03", b"a\xff\x00\x01", b"\xff\xfe\xfd\xfc"):
+        node = lm.LONG << lm.NODE_BITS | int.from_bytes(context)
+        p = model.scores(node << lm.SYMBOL_BITS | np.arange(lm.SYMBOLS))
+        assert (10.0**p).sum() == pytest.approx(1, abs=1e-4)
+    for text in (b"abracadabra", b"the theatre of zebras", "дома, дом".encode(), bytes(range(0, 256, 3)), b""):
+        assert model.scores(lm.keys(text)).sum() == pytest.approx(brute_ppm(train, text), rel=1e-4)
 
 
 def test_lm_keys_go_on_over_slices():
     text = b"the cat sat on a mat, " * 300_000
     assert len(list(lm._keys_of(text))) > 1 and np.array_equal(np.concatenate(list(lm._keys_of(text))), lm.keys(text))
-    assert lm.keys(b"").tolist() == [int.from_bytes(b"    ") << lm.SYMBOL_BITS | lm.END]
+    assert lm.keys(b"").tolist() == [(lm.LONG << 32 | int.from_bytes(b"    ")) << lm.SYMBOL_BITS | lm.END]
 
 
 def brute_ppm(train, text):
@@ -440,8 +451,7 @@ def brute_ppm(train, text):
     def walk(t):
         hist = list(b"    ")
         for b in [*t, lm.END]:
-            # the deepest context is of whole bytes, shorter ones are folded
-            yield [tuple(int(lm._CLASS[x]) for x in hist[4 - k :]) for k in range(4)] + [tuple(hist)], b
+            yield [tuple(hist[4 - k :]) for k in range(5)], b
             hist = [*hist[1:], b]
 
     for t in train:

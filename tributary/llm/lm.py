@@ -6,12 +6,10 @@ escape's share is the number of distinct bytes seen there), where the bytes
 seen in the longer context are excluded. As the trained trie doesn't change
 while scoring, every context's escapes are worked out once.
 
-The deepest contexts are four whole bytes. They grow with the corpus, so they
-are a distributed table: texts are read in chunks, and each chunk is sent its
-own contexts by a shuffle join. Contexts of up to three bytes are folded to 32
-classes (letters, digits, space, marks, bytes beyond ASCII), which makes one
-table of at most 2**15 x 257 log-probabilities that every task holds. Predicted
-bytes are not folded.
+The trie's contexts are whole bytes at every depth. They grow with the corpus,
+so the trie is a distributed table of nodes: texts are read in chunks, and each
+chunk is sent the nodes of its own contexts by a shuffle join. No task and no
+driver holds the trie.
 
 Beside it stands a unigram base score. Its vocabulary isn't bounded: words
 with at least a 2**-20 share of the training tokens (so at most 2**20 of
@@ -34,11 +32,9 @@ from tributary.llm.common import groups_of, materialise, slices, small_batches,
 
 END = 256
 SYMBOLS = 257
-CLASSES = 32
-DEPTH = 3
-CONTEXTS = CLASSES**DEPTH
-#: Whole bytes in a deepest context, and bits of a symbol in a key (context, symbol).
+#: Bytes in a deepest context. A node is its depth, then its bytes; a key is a node, then a symbol.
 LONG = 4
+NODE_BITS = 8 * LONG
 SYMBOL_BITS = 9
 #: Bytes of text that are sent their contexts together (more only for one longer text).
 TEXTS = 16 << 20
@@ -54,26 +50,11 @@ HELD_WORDS = 500_000
 END_WORD = b""
 
 
-def _class_of(b: int) -> int:
-    if b in b" \t\n\r\x0b\x0c":
-        return 0
-    if 97 <= b <= 122:
-        return b - 96
-    if 48 <= b <= 57:
-        return 27
-    if b in b".,;:!?":
-        return 28
-    return 29 if b < 128 else 30 if b < 192 else 31
-
-
-_CLASS = np.array([_class_of(b) for b in range(256)], np.int64)
-
-
 def keys(text: bytes, before: bytes = b"", last: bool = True) -> np.ndarray:
-    """(context, symbol) of each byte of a text, and of the end if ``last``; ``before`` are the bytes ahead of it."""
+    """Deepest key of each byte of a text, and of the end if ``last``; ``before`` are the bytes ahead of it."""
     raw = np.frombuffer((b" " * LONG + before)[-LONG:] + text, np.uint8).astype(np.int64)
     n = len(text) + last
-    out = np.zeros(n, np.int64)
+    out = np.full(n, LONG, np.int64)
     for i in range(LONG):
         out = out << 8 | raw[i : i + n]
     out <<= SYMBOL_BITS
@@ -82,53 +63,9 @@ def keys(text: bytes, before: bytes = b"", last: bool = True) -> np.ndarray:
     return out
 
 
-def folded(context: np.ndarray) -> np.ndarray:
-    """The folded shorter context of each deepest one."""
-    byte = [_CLASS[context >> 8 * i & 0xFF] for i in reversed(range(DEPTH))]
-    return (byte[0] * CLASSES + byte[1]) * CLASSES + byte[2]
-
-
-def places(key: np.ndarray) -> np.ndarray:
-    """Place of keys in the table of folded contexts."""
-    return folded(key >> SYMBOL_BITS) * SYMBOLS + (key & (1 << SYMBOL_BITS) - 1)
-
-
-def _exclude(n: np.ndarray, seen: np.ndarray, further: np.ndarray) -> np.ndarray:
-    """Probabilities after an escape into contexts with counts n, with ``seen`` bytes excluded; ``further`` are those after one more escape."""
-    left = np.where(seen, 0, n)
-    total, kinds = left.sum(axis=-1, keepdims=True), (left > 0).sum(axis=-1, keepdims=True)
-    # all that is left is seen here: no escape is needed
-    escape = np.where((left > 0).sum(axis=-1, keepdims=True) + seen.sum(axis=-1, keepdims=True) == SYMBOLS, 0, kinds)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        p = np.where(left > 0, left / (total + escape), escape / (total + escape) * further)
-    return np.where(total > 0, p, further)
-
-
-def compile_table(counts: np.ndarray) -> np.ndarray:
-    """log10 probability of each symbol in each full context, from counts of shape (CONTEXTS, SYMBOLS)."""
-    orders = [counts.reshape(-1, CLASSES**k, SYMBOLS).sum(axis=0, dtype=np.int64) for k in range(DEPTH)]
-    seen = [n > 0 for n in orders]
-    unseen = SYMBOLS - seen[0].sum()
-    # after an escape from a context of order k, by its symbols' exclusion at its suffix
-    after = [np.full((1, SYMBOLS), 1.0 / unseen if unseen else 0.0)]
-    for k in range(1, DEPTH):
-        up = np.tile(np.arange(CLASSES ** (k - 1)), CLASSES)
-        after.append(_exclude(orders[k - 1][up], seen[k], after[k - 1][up]))
-    full: list[np.ndarray] = []
-    for k in range(DEPTH):
-        shorter = full[k - 1][np.tile(np.arange(CLASSES ** (k - 1)), CLASSES)] if k else after[0]
-        none = np.zeros((1, SYMBOLS), bool)
-        own = _exclude(orders[k], none, after[k])
-        full.append(np.where(orders[k].sum(axis=1, keepdims=True) > 0, own, shorter))
-    table = np.empty((CONTEXTS, SYMBOLS), np.float32)
-    step = CLASSES ** (DEPTH - 1)
-    for i in range(0, CONTEXTS, step):
-        n = counts[i : i + step].astype(np.int64)
-        escaped = _exclude(orders[-1], n > 0, after[-1])
-        own = _exclude(n, np.zeros((1, SYMBOLS), bool), escaped)
-        p = np.where(n.sum(axis=1, keepdims=True) > 0, own, full[-1])
-        table[i : i + step] = np.log10(np.maximum(p, 1e-30))
-    return table
+def shallower(node: np.ndarray, depth: int) -> np.ndarray:
+    """The nodes of the last ``depth`` bytes of contexts."""
+    return depth << NODE_BITS | node & (1 << 8 * depth) - 1
 
 
 def _keys_of(text: bytes, before: bytes = b"", last: bool = True) -> Iterator[np.ndarray]:
@@ -166,7 +103,7 @@ def _pieces(text: bytes) -> list[Piece]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to counts: rows (word, place, n), a word, a place in the table of folded contexts, or -1 - key for a deepest one."""
+    """Texts to counts: rows (word, key, n) of a word or of a deepest key."""
     words: Counter[bytes] = Counter()
     held, n_held = [], 0
 
@@ -174,7 +111,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, values = list(words.keys()), list(words.values())
         for i in range(0, len(got), 1 << 16):
             k = got[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.nulls(len(k), pa.int64()), pa.array(values[i : i + (1 << 16)], pa.int64())], names=["word", "place", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(k, pa.binary()), pa.nulls(len(k), pa.int64()), pa.array(values[i : i + (1 << 16)], pa.int64())], names=["word", "key", "n"])
         words.clear()
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -184,11 +121,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush_keys() -> Iterator[pa.RecordBatch]:
         key, n = merged()
-        at, which = np.unique(places(key), return_inverse=True)
-        for place, count in ((at, np.bincount(which, n).astype(np.int64)), (-1 - key, n)):
-            for i in range(0, len(place), 1 << 16):
-                part = place[i : i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(count[i : i + (1 << 16)])], names=["word", "place", "n"])
+        for i in range(0, len(key), 1 << 16):
+            part = key[i : i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.binary()), pa.array(part), pa.array(n[i : i + (1 << 16)])], names=["word", "key", "n"])
 
     for b in batches:
         texts = [t.lower() for t in text_bytes(b.column(0))]
@@ -213,53 +148,50 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush_keys()
 
 
-def _deepest(trie):
-    """Rows (context, seen: symbols and counts) to (context, symbols, scores, met, unmet).
-
-    ``scores`` are the log-probabilities of the symbols seen; ``met`` and
-    ``unmet`` are added to the folded table's log-probability of any other
-    symbol, one that the folded context has seen or has not: they hold the
-    escape, and the folded context's share without the symbols excluded.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, times = trie.value
-        total = np.bincount(at // SYMBOLS, times, CONTEXTS)
-        kinds = np.bincount(at // SYMBOLS, minlength=CONTEXTS)
-        for b in batches:
-            if not b.num_rows:
-                continue
-            context, seen = b.column(0).to_numpy(), b.column(1)
-            flat, sizes = seen.flatten(), np.diff(seen.offsets.to_numpy())
-            symbol, n = flat.field(0).to_numpy().astype(np.int64), flat.field(1).to_numpy().astype(np.float64)
-            owner, short = np.repeat(np.arange(len(context)), sizes), folded(context)
-            shorter = times[np.searchsorted(at, short[owner] * SYMBOLS + symbol)]
-            own = np.bincount(owner, n, len(context))
-            left = total[short] - np.bincount(owner, shorter, len(context))
-            more = kinds[short] - sizes
-            escape = np.where(sizes == SYMBOLS, 0, sizes)
-            whole = np.where(kinds[short] == SYMBOLS, 0, kinds[short])
-            again = np.where(kinds[short] == SYMBOLS, 0, more)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                out = np.log10(escape / (own + escape))
-                met = out + np.log10((total[short] + whole) / (left + again))
-                share = np.where(more > 0, again / (left + again), 1.0)
-                unmet = out + np.log10((total[short] + whole) / whole * share)
-                scores = np.log10(n / (own + escape)[owner])
-            lists = lambda x, t: pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(x, t))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), lists(symbol.astype(np.int16), pa.int16()), lists(scores.astype(np.float32), pa.float32()), pa.array(met.astype(np.float32)), pa.array(unmet.astype(np.float32))],
-                names=["context", "symbols", "scores", "met", "unmet"],
-            )
+def trie(counts: DataFrame) -> DataFrame:
+    """Counts (key, n) of deepest keys to those of all depths: rows (node, symbol, n)."""
+    node = F.shiftright("key", SYMBOL_BITS)
+    path = [(node.bitwiseAND(F.lit((1 << 8 * d) - 1)) + F.lit(d << NODE_BITS)).alias("node") for d in range(LONG + 1)]
+    symbol = F.col("key").bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)).cast("short")
+    return counts.select(F.explode(F.array(*path)).alias("node"), symbol.alias("symbol"), "n").groupBy("node", "symbol").agg(F.sum("n").alias("n"))
 
-    return run
 
+def nodes(rows: DataFrame) -> DataFrame:
+    """The trie's rows to its nodes: (node, symbols, scores, escape, shift, further), all log10.
 
-CHUNK = pa.schema([("chunk", pa.int64()), ("row_ids", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("befores", pa.list_(pa.binary())), ("lasts", pa.list_(pa.bool_())), ("texts", pa.binary()), ("contexts", pa.list_(pa.int64()))])
+    ``scores`` are the probabilities of the symbols seen at the node, and
+    ``escape`` that of any other. After an escape, a symbol that the parent has
+    seen has its score there plus ``shift`` (as the node's own symbols are
+    excluded), and one that it hasn't seen escapes from it with ``further``. All
+    that a node has seen its parent has seen as well.
+    """
+    depth = F.shiftright("node", NODE_BITS)
+    shorter = F.expr(f"(1L << CAST(8 * (shiftright(node, {NODE_BITS}) - 1) AS INT)) - 1")
+    parent = F.when(depth > 0, F.col("node").bitwiseAND(shorter) + F.expr(f"(shiftright(node, {NODE_BITS}) - 1) << {NODE_BITS}"))
+    above = rows.select(F.col("node").alias("parent"), "symbol", F.col("n").alias("n_above"))
+    met = rows.withColumn("parent", parent).join(above, ["parent", "symbol"], "left")
+    own = met.groupBy("node", "parent").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"), F.sum("n_above").alias("excluded"), F.collect_list(F.struct("symbol", "n")).alias("seen"))
+    up = rows.groupBy(F.col("node").alias("parent")).agg(F.sum("n").alias("n_up"), F.count(F.lit(1)).alias("kinds_up"))
+    # where all symbols are seen, or left, no escape is needed
+    needed = lambda kinds, of: F.when(F.col(of) == SYMBOLS, 0).otherwise(kinds)
+    whole = F.col("n") + needed(F.col("kinds"), "kinds")
+    whole_up = F.col("n_up") + needed(F.col("kinds_up"), "kinds_up")
+    more = needed(F.col("kinds_up") - F.col("kinds"), "kinds_up")
+    left = F.col("n_up") - F.col("excluded") + more
+    # a share that is zero, or of nothing, is never asked for
+    log = lambda a, b: F.coalesce(F.log10(F.try_divide(a, b)), F.lit(0.0)).cast("float")
+    further = F.when(F.col("kinds_up") == F.col("kinds"), F.lit(0.0)).otherwise(log(more, left)).cast("float")
+    return own.join(up, "parent", "left").select(
+        "node", F.col("seen.symbol").alias("symbols"), F.transform("seen", lambda x: F.log10(x["n"] / whole).cast("float")).alias("scores"),
+        log(needed(F.col("kinds"), "kinds"), whole).alias("escape"), log(whole_up, left).alias("shift"), further.alias("further"),
+    )
+
+
+CHUNK = pa.schema([("chunk", pa.int64()), ("row_ids", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("befores", pa.list_(pa.binary())), ("lasts", pa.list_(pa.bool_())), ("texts", pa.binary()), ("nodes", pa.list_(pa.int64()))])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, held_out, text) to chunks of texts (compressed), each with its distinct deepest contexts.
+    """Rows (doc_id, held_out, text) to chunks of texts (compressed), each with the nodes of its contexts.
 
     A text beyond ``TEXTS`` is cut at white space into chunks of its own.
     """
@@ -270,7 +202,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = pa.compress(b"".join(p.text for *_, p in held), codec="zstd", asbytes=True)
         rows, ids, outs, pieces = zip(*held, strict=True)
         columns = {"row_ids": rows, "doc_ids": ids, "held_out": outs, "sizes": [len(p.text) for p in pieces], "befores": [p.before for p in pieces], "lasts": [p.last for p in pieces]}
-        return pa.RecordBatch.from_pydict({"chunk": [chunk], **{k: [list(v)] for k, v in columns.items()}, "texts": [packed], "contexts": [_merged(contexts)]}, schema=CHUNK)
+        return pa.RecordBatch.from_pydict({"chunk": [chunk], **{k: [list(v)] for k, v in columns.items()}, "texts": [packed], "nodes": [_paths(_merged(contexts))]}, schema=CHUNK)
 
     for b in batches:
         texts = [[(row + i, d, h, p) for p in _pieces(t.lower())] for i, (d, h, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2)), strict=True))]
@@ -295,39 +227,54 @@ def _merged(contexts: list[np.ndarray]) -> np.ndarray:
     return np.unique(np.concatenate(contexts))
 
 
-class _Deepest:
-    """A chunk's contexts, opened for scoring."""
+def _paths(deepest: np.ndarray) -> np.ndarray:
+    return np.concatenate([deepest, *(np.unique(shallower(deepest, d)) for d in range(LONG))])
+
+
+class Model:
+    """A chunk's nodes, opened for scoring."""
 
     def __init__(self, rows: pa.Array):
-        context, order = rows.field(0).to_numpy(), np.argsort(rows.field(0).to_numpy())
-        self.context = context[order]
-        self.met, self.unmet = (rows.field(i).to_numpy()[order].astype(np.float64) for i in (3, 4))
+        node, order = rows.field(0).to_numpy(), np.argsort(rows.field(0).to_numpy())
+        self.node = node[order]
+        self.escape, self.shift, self.further = (rows.field(i).to_numpy()[order].astype(np.float64) for i in (3, 4, 5))
         sizes = np.diff(rows.field(1).offsets.to_numpy())
-        key = np.repeat(context, sizes) << SYMBOL_BITS | rows.field(1).flatten().to_numpy().astype(np.int64)
+        key = np.repeat(node, sizes) << SYMBOL_BITS | rows.field(1).flatten().to_numpy().astype(np.int64)
         by_key = np.argsort(key)
         self.key, self.score = key[by_key], rows.field(2).flatten().to_numpy()[by_key].astype(np.float64)
-
-    def scores(self, key: np.ndarray, table: np.ndarray, seen: np.ndarray) -> np.ndarray:
-        at = places(key)
-        out = table[at].astype(np.float64)
-        if not len(self.context):
-            return out
-        context = key >> SYMBOL_BITS
-        i = np.minimum(np.searchsorted(self.context, context), len(self.context) - 1)
-        known = self.context[i] == context
-        out += np.where(known, np.where(seen[at], self.met[i], self.unmet[i]), 0.0)
-        k = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[k] == key, self.score[k], out)
+        # the root is node 0; what it hasn't seen is equally likely
+        root = int(np.searchsorted(self.key, SYMBOLS))
+        self.unseen = -np.log10(max(1, SYMBOLS - root))
+
+    def scores(self, key: np.ndarray) -> np.ndarray:
+        """log10 probabilities of deepest keys: from the deepest node of each, up to the first that has seen its symbol."""
+        out = np.zeros(len(key))
+        if not len(self.node):
+            return out + self.unseen
+        open_, node, symbol = np.arange(len(key)), key >> SYMBOL_BITS, key & (1 << SYMBOL_BITS) - 1
+        # the node that each has escaped from, or -1
+        below = np.full(len(key), -1)
+        for depth in range(LONG, -1, -1):
+            here = shallower(node, depth)
+            wanted = here << SYMBOL_BITS | symbol
+            k = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
+            hit = self.key[k] == wanted
+            out[open_[hit]] += self.score[k[hit]] + np.where(below[hit] < 0, 0.0, self.shift[below[hit]])
+            open_, node, symbol, below, here = (x[~hit] for x in (open_, node, symbol, below, here))
+            i = np.minimum(np.searchsorted(self.node, here), len(self.node) - 1)
+            known = self.node[i] == here
+            out[open_] += np.where(known, np.where(below < 0, self.escape[i], self.further[below]), 0.0)
+            below = np.where(known, i, -1)
+        out[open_] += self.unseen
+        return out
 
 
 SCORED = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_score", pa.float64()), ("score", pa.float64()), ("tail", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))])
 
 
-def _scorer(model, trie):
+def _scorer(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, head = model.value
-        seen = np.zeros(CONTEXTS * SYMBOLS, bool)
-        seen[trie.value[0]] = True
+        head = common.value
         for b in batches:
             for r in range(b.num_rows):
                 _, rows, ids, held, sizes, befores, lasts = (b.column(k)[r].as_py() for k in range(7))
@@ -335,22 +282,22 @@ def _scorer(model, trie):
                 whole = memoryview(pa.decompress(b.column(7)[r].as_buffer(), int(ends[-1]), codec="zstd"))
                 texts = [Piece(bytes(whole[e - n : e]), before, last) for e, n, before, last in zip(ends.tolist(), sizes, befores, lasts, strict=True)]
                 found = b.column(8)[r].values
-                deepest = _Deepest(b.column(8).values.slice(0, 0) if found is None else found)
+                model = Model(b.column(8).values.slice(0, 0) if found is None else found)
                 for i, j in groups_of([t.text for t in texts], KEYED):
-                    yield _score_group(rows[i:j], ids[i:j], held[i:j], texts[i:j], deepest, table, seen, head)
+                    yield _score_group(rows[i:j], ids[i:j], held[i:j], texts[i:j], model, head)
 
     return run
 
 
-def _score_group(rows: list, ids: list, held: list, texts: list[Piece], deepest: _Deepest, table: np.ndarray, seen: np.ndarray, head: dict) -> pa.RecordBatch:
+def _score_group(rows: list, ids: list, held: list, texts: list[Piece], model: Model, head: dict) -> pa.RecordBatch:
     out = {k: [] for k in SCORED.names}
     out["row_id"], out["doc_id"], out["held_out"] = rows, ids, held
     scores = np.zeros(len(texts))
     for i, j, key, index, lengths in _distinct(texts):
         if j - i == 1:  # a window of one text, which may have no byte and no end
-            scores[i] += deepest.scores(key, table, seen)[index].sum()
+            scores[i] += model.scores(key)[index].sum()
         else:
-            each = np.r_[deepest.scores(key, table, seen)[index], 0.0]
+            each = np.r_[model.scores(key)[index], 0.0]
             scores[i:j] = np.where(lengths > 0, np.add.reduceat(each, np.cumsum(lengths) - lengths), 0.0)
     out["score"] = scores
     get = head.get
@@ -385,33 +332,21 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(_count, "word binary, place long, n long")
-    counts = materialise(counted.groupBy("word", "place").agg(F.sum("n").alias("n")), "lm-counts")
+    counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(_count, "word binary, key long, n long")
+    counts = materialise(counted.groupBy("word", "key").agg(F.sum("n").alias("n")), "lm-counts")
     words = counts.filter(F.col("word").isNotNull()).select("word", "n")
     total, distinct = words.filter("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     common = F.col("n") * HEAD >= total
     head = {bytes(r[0]): math.log10(r[1] + 0.5) for r in words.filter(common & (F.col("n") > 0)).collect()}
-    # at most CONTEXTS * SYMBOLS places, whatever the corpus
-    folds = counts.filter("place >= 0").select("place", "n").toArrow()
-    at, times = folds.column(0).to_numpy(), folds.column(1).to_numpy()
-    order = np.argsort(at)
-    at, times = at[order], times[order]
-    table = np.zeros(CONTEXTS * SYMBOLS, np.int64)
-    table[at] = times
-    trie = spark.sparkContext.broadcast((at, times))
-    model = spark.sparkContext.broadcast((compile_table(table.reshape(CONTEXTS, SYMBOLS)).ravel(), head))
-    del table
-    key = -1 - F.col("place")
-    seen = F.struct(key.bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)).alias("symbol"), "n")
-    by_context = counts.filter("place < 0").groupBy(F.shiftright(key, SYMBOL_BITS).alias("context")).agg(F.collect_list(seen).alias("seen"))
-    deepest = by_context.mapInArrow(_deepest(trie), "context long, symbols array<short>, scores array<float>, met float, unmet float")
-    chunks = rows.mapInArrow(_chunks, "chunk long, row_ids array<long>, doc_ids array<long>, held_out array<boolean>, sizes array<long>, befores array<binary>, lasts array<boolean>, texts binary, contexts array<long>")
+    grown = materialise(trie(counts.filter(F.col("key").isNotNull())), "lm-trie")
+    at_node = nodes(grown)
+    chunks = rows.mapInArrow(_chunks, "chunk long, row_ids array<long>, doc_ids array<long>, held_out array<boolean>, sizes array<long>, befores array<binary>, lasts array<boolean>, texts binary, nodes array<long>")
     chunks = materialise(chunks, "lm-chunks")
-    sent = chunks.select("chunk", F.explode("contexts").alias("context")).join(deepest, "context")
-    # at most as many as a chunk has bytes
-    sent = sent.groupBy("chunk").agg(F.collect_list(F.struct("context", "symbols", "scores", "met", "unmet")).alias("found"))
-    ready = chunks.drop("contexts").join(sent, "chunk", "left")
-    scored = ready.mapInArrow(_scorer(model, trie), "row_id long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double, tail array<struct<word: binary, n: long>>")
+    sent = chunks.select("chunk", F.explode("nodes").alias("node")).join(at_node, "node")
+    # at most LONG + 1 times as many as a chunk has bytes
+    sent = sent.groupBy("chunk").agg(F.collect_list(F.struct("node", "symbols", "scores", "escape", "shift", "further")).alias("found"))
+    ready = chunks.drop("nodes").join(sent, "chunk", "left")
+    scored = ready.mapInArrow(_scorer(spark.sparkContext.broadcast(head)), "row_id long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double, tail array<struct<word: binary, n: long>>")
     scored = materialise(scored, "lm-scored")
     tail = scored.select("row_id", F.explode("tail").alias("t")).select("row_id", "t.word", F.col("t.n").alias("times"))
     rare = words.filter(~common & (F.col("n") > 0))
