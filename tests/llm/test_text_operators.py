@@ -244,6 +244,25 @@ def test_packing_mixes_windows(spark):
         share[r.sequence_id][r.source] += r.length
     full = [s for k, s in share.items() if k != max(share)]
     assert full and all(abs(s.get("small", 0) / packing.WINDOW - 1 / 3) <= 2 * packing.PACKET / packing.WINDOW for s in full)
+    # a round cuts each queue once, a window's end cuts one document
+    assert len(got) <= len(rows) + 3 * len(share)
+
+
+def test_small_sources_take_turns(spark):
+    text = " ".join(["the cat sat on the mat"] * 40)
+    rows = [(i, text, "en", "hot" if i % 3 == 0 else f"s{i % 40}") for i in range(600)]
+    got = packing.pack(documents(spark, rows).select("doc_id", "text", "source")).collect()
+    share, total = {}, {}
+    for r in got:
+        key = (r.sequence_id, r.source)
+        share[key] = share.get(key, 0) + r.length
+        total[r.source] = total.get(r.source, 0) + r.length
+    windows = {k for k, _ in share}
+    every = sum(total.values())
+    # small sources save for four rounds, and the last four rounds share out what is left
+    for k in range(max(windows) - 4):
+        assert all(abs(share.get((k, s), 0) - packing.WINDOW * n / every) <= packing.PACKET for s, n in total.items())
+    assert len(got) <= len(rows) + every / packing.PACKET + len(windows)
 
 
 # --- sharding ---------------------------------------------------------------------

@@ -189,20 +189,26 @@ def test_op10_query(spark, small):
         assert r.sequence_id * packing.WINDOW + r.offset == place and r.ids_crc32 == crc(ids[r.doc_id][r.start : r.start + r.length]) and r.doc_tokens == len(ids[r.doc_id])
         place += r.length
     assert place == sum(len(ids[d]) for d, *_ in rows)
-    # plain rounds: a queue's deficit grows by its share of a window, and it sends packets while the deficit covers them
+    # plain rounds: a queue's deficit grows by its share of a window; once it saved for a packet, it sends all that is covered
     mix = {r.doc_id: r.h for r in spark.createDataFrame([(d,) for d in ids], "doc_id long").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
-    queues = {}
+    tokens, queues = Counter(), {}
     for d, _, _, s in sorted(rows, key=lambda r: (mix[r[0]], r[0])):
-        queues.setdefault(s, []).extend((d, at, min(packing.PACKET, len(ids[d]) - at)) for at in range(0, len(ids[d]), packing.PACKET))
-    tokens = {s: sum(n for *_, n in q) for s, q in queues.items()}
-    deficit, sent, plain = dict.fromkeys(queues, 0.0), dict.fromkeys(queues, 0), []
-    while any(sent[s] < len(q) for s, q in queues.items()):
-        for s in sorted(queues, key=lambda s: (s is None, s or "")):
-            deficit[s] += packing.WINDOW * tokens[s] / sum(tokens.values())
-            while sent[s] < len(queues[s]) and queues[s][sent[s]][2] <= deficit[s] + 1e-6:
-                plain.append((s, queues[s][sent[s]][2]))
-                deficit[s] -= plain[-1][1]
-                sent[s] += 1
+        tokens[s] += len(ids[d])
+        queues.setdefault(s, []).extend((d, at) for at in range(len(ids[d])))
+    quantum = {s: packing.WINDOW * tokens[s] / place for s in tokens}
+    order = sorted(queues, key=lambda s: (s is None, s or ""))
+    every = {s: max(1, math.ceil(packing.PACKET / quantum[s])) for s in order}
+    saved = {s: (n + 1) % every[s] for n, s in enumerate(order)}
+    earned, sent, plain, turn = {s: saved[s] * quantum[s] for s in order}, dict.fromkeys(order, 0), [], 0
+    while sum(sent.values()) < place:
+        turn += 1
+        for s in order:
+            saved[s] += 1
+            earned[s] += quantum[s]
+            if saved[s] == every[s] or turn * quantum[s] >= tokens[s] - 1e-6:
+                to = min(tokens[s], math.floor(earned[s] + 1e-6))
+                plain += [(s, 1)] * (to - sent[s])
+                sent[s], saved[s] = to, 0
     runs = lambda items: [(s, sum(n for _, n in g)) for s, g in groupby(items, lambda x: x[0])]
     assert runs((r.source, r.length) for r in got) == runs(plain)
 

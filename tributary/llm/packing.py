@@ -1,12 +1,15 @@
 """Mixture-controlled packing by deficit round-robin.
 
-Sources are queues of packets (runs of at most ``PACKET`` tokens of one
-document). In each round a queue's deficit grows by its quantum, its share of
-a window, and it sends packets while the deficit covers them; what is left is
-carried to the next round. A packet that ends at token f of its queue is thus
-sent in round ceil(f / quantum), so the schedule is a sort, and deficits carry
-across windows and Spark partitions alike. The stream is cut every ``WINDOW``
-tokens; only the last sequence is padded.
+Sources are queues of documents. In each round a queue's deficit grows by its
+quantum, its share of a window. It sends tokens once the deficit is a packet
+(``PACKET`` tokens) or more, and then all that the deficit covers, so documents
+are cut only where a deficit ends; the fraction of a token that is left is
+carried on. Small queues, which save for m rounds, take turns: each starts with
+the credit of up to m - 1 rounds. A queue's k-th packet thus ends at token
+floor(k m quantum) and is sent in round k m - credit, so the schedule is a sort,
+and deficits carry across windows and Spark partitions alike. Shares hold until
+queues come to their last packet. The stream is cut every ``WINDOW`` tokens;
+only the last sequence is padded.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from tributary.llm.common import fresh_task, groups_of, join_small, materialise,
 from tributary.llm.wordids import default_path, encoder
 
 WINDOW = 4096
-#: Documents are queued in packets of at most so many tokens; a window misses a source's share by no more than one.
+#: A queue sends at least so many tokens at once, so a window misses a source's share by no more than about that.
 PACKET = 256
 END_ID = 2
 
@@ -114,13 +117,20 @@ def pack(docs: DataFrame, tokenizer: str | None = None, weights: dict[str, float
     else:
         src = src.withColumn("share", F.col("tokens").cast("double"))
     whole = Window.partitionBy()
-    src = src.select(F.col("source").alias("__source"), F.row_number().over(whole.orderBy(F.col("source").asc_nulls_last())).alias("queue"), (F.lit(float(WINDOW)) * F.col("share") / F.sum("share").over(whole)).alias("quantum"))
+    src = src.select(F.col("source").alias("__source"), F.row_number().over(whole.orderBy(F.col("source").asc_nulls_last())).alias("queue"), (F.lit(float(WINDOW)) * F.col("share") / F.sum("share").over(whole)).alias("quantum"), "tokens")
+    # rounds from packet to packet, those that a queue has credit of at first, and those after which it is empty
+    src = src.withColumn("every", F.ceil(F.greatest(F.lit(1.0), packet / F.col("quantum")))).withColumn("credit", F.col("queue") % F.col("every")).withColumn("rounds", F.ceil(F.col("tokens") / F.col("quantum"))).drop("tokens")
     queued = join_small(narrow, src, F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "source")
     queued = queued.withColumn("mixed", F.xxhash64("doc_id"))
     queued = ordered_prefix(queued, ["mixed", "doc_id", "row_id"], "n_tokens", "before", "queue")
-    sent = queued.select("row_id", "queue", "quantum", "before", "n_tokens", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.lit(packet).cast("long"))).alias("first"))
-    sent = sent.withColumn("length", F.least(F.lit(packet).cast("long"), F.col("n_tokens") - F.col("first"))).withColumn("place", F.col("before") + F.col("first"))
-    sent = sent.select("row_id", "first", "length", "queue", "place", F.ceil((F.col("place") + F.col("length")) / F.col("quantum")).alias("round"))
+    # packets k that a document may have a part of, two to spare against rounding
+    at = lambda place: F.floor(place / F.col("quantum") / F.col("every"))
+    k = F.sequence(F.greatest(F.lit(1).cast("long"), at(F.col("before"))), at(F.col("before") + F.col("n_tokens")) + 2)
+    parts = queued.select("row_id", "queue", "quantum", "before", "n_tokens", "rounds", "every", "credit", F.explode(k).alias("k"))
+    ends = lambda k: F.floor(k * F.col("every") * F.col("quantum"))
+    parts = parts.withColumn("place", F.greatest("before", ends(F.col("k") - 1)))
+    parts = parts.withColumn("length", F.least(F.col("before") + F.col("n_tokens"), ends(F.col("k"))) - F.col("place")).filter("length > 0")
+    sent = parts.select("row_id", (F.col("place") - F.col("before")).alias("first"), "length", "queue", "place", F.least("rounds", F.col("k") * F.col("every") - F.col("credit")).alias("round"))
     stream = ordered_prefix(sent, ["round", "queue", "place"], "length", "at")
     packets = stream.groupBy("row_id").agg(F.collect_list(F.struct("first", "length", "at")).alias("packets"))
     schema = T.StructType.fromDDL("doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
