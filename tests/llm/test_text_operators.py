@@ -203,11 +203,12 @@ def test_token_output(spark, odd, empty):
     assert dac.read(spark, path).count() == 0
 
 
-def test_word_ids_over_generations():
-    w = wordids.WordIds(wordids.default_path(), generation=5)
-    for _ in range(3):
-        for _, t, *_ in ODD:
-            assert np.frombuffer(w.ids([(t or "").encode()])[0], "<u4").tolist() == ids_of(t)[:-1]
+@pytest.mark.parametrize("most", [1, 300, 1 << 24])
+def test_word_ids_match_the_library(most):
+    w = wordids.WordIds(wordids.default_path())
+    texts = [t or "" for _, t, *_ in ODD] + ["ŉ ŉa İ ǅ ʰa ªº µ ß", "İİ.. word, (word) word", " a  b\x0b", "it's 'll a.b ...", " "]
+    assert [np.frombuffer(x, "<u4").tolist() for x in w.ids([t.encode() for t in texts], most)] == [ids_of(t)[:-1] for t in texts]
+    assert w.ids([]) == []
 
 
 def test_packing_covers_every_token_once(spark, odd, empty):

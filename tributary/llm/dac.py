@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tributary.llm.common import groups_of, join_small, shuffle_partitions, small_batches, task_id, text_bytes
-from tributary.llm.wordids import default_path, encoder
+from tributary.llm.common import join_small, shuffle_partitions, small_batches, task_id
+from tributary.llm.wordids import default_path, encoder, gathered
 
 MAGIC = b"DAC1"
 BLOCK = 512
@@ -114,7 +114,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
     The container is Parquet, so any store that Spark writes will do; each row
     is one shard in the format above with the documents it holds. Null and
     empty texts are the end id alone; null doc_ids come first; rows of equal
-    doc_id are ordered by text. Only doc_id and text are read.
+    doc_id are ordered by a hash of the text. Only doc_id and text are read.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -131,17 +131,15 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             shard = encode(np.frombuffer(b"".join(held), "<u4"))
             return pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "shard_start": start, "n_tokens": n, "shard": shard, "docs": index}], schema=out)
 
-        for b in batches:
-            texts, doc_ids = text_bytes(b.column(1)), b.column(0).to_pylist()
-            for i, j in groups_of(texts):
-                for doc_id, ids in zip(doc_ids[i:j], words.ids(texts[i:j]), strict=True):
-                    held += (ids, tail)
-                    size = len(ids) // 4 + 1
-                    index.append({"doc_id": doc_id, "n_tokens": size})
-                    n += size
-                    if n >= shard_ids:
-                        yield close()
-                        seq, start, held, index, n = seq + 1, start + n, [], [], 0
+        for (doc_ids,), texts in gathered(batches, 1):
+            for doc_id, ids in zip(doc_ids.to_pylist(), words.ids(texts), strict=True):
+                held += (ids, tail)
+                size = len(ids) // 4 + 1
+                index.append({"doc_id": doc_id, "n_tokens": size})
+                n += size
+                if n >= shard_ids:
+                    yield close()
+                    seq, start, held, index, n = seq + 1, start + n, [], [], 0
         if index:
             yield close()
 

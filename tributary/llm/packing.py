@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tributary.llm.common import fresh_task, groups_of, join_small, materialise, ordered_prefix, small_batches, task_id, text_bytes
-from tributary.llm.wordids import default_path, encoder
+from tributary.llm.common import fresh_task, join_small, materialise, ordered_prefix, small_batches, task_id
+from tributary.llm.wordids import default_path, encoder, gathered
 
 WINDOW = 4096
 #: A queue sends at least so many tokens at once, so a window misses a source's share by no more than about that.
@@ -42,15 +42,13 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh_task("wordids")
         words, row = encoder(tokenizer), task_id() << 33
-        for b in batches:
-            texts = text_bytes(b.column(2))
-            for i, j in groups_of(texts):
-                ids = [np.frombuffer(x + tail, "<u4") for x in words.ids(texts[i:j])]
-                wide = [bool(x.max() > 0xFFFF) for x in ids]
-                data = [(x if w else x.astype("<u2")).tobytes() for x, w in zip(ids, wide, strict=True)]
-                n = j - i
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), b.column(0)[i:j], b.column(1)[i:j], pa.array([len(x) for x in ids], pa.int64()), pa.array(wide), pa.array(data, pa.binary())], names=["row_id", "doc_id", "source", "n_tokens", "wide", "ids"])
-                row += n
+        for (doc_id, source), texts in gathered(batches, 2):
+            ids = [np.frombuffer(x + tail, "<u4") for x in words.ids(texts)]
+            wide = [bool(x.max() > 0xFFFF) for x in ids]
+            data = [(x if w else x.astype("<u2")).tobytes() for x, w in zip(ids, wide, strict=True)]
+            n = len(texts)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + n)), doc_id, source, pa.array([len(x) for x in ids], pa.int64()), pa.array(wide), pa.array(data, pa.binary())], names=["row_id", "doc_id", "source", "n_tokens", "wide", "ids"])
+            row += n
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.coalesce("text", F.lit("")))
     return materialise(rows.mapInArrow(encode, "row_id long, doc_id long, source string, n_tokens long, wide boolean, ids binary"), "ids", "zstd")
